@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, quality_classifier, quality_rules, sharding
+from millrace.llm import line_dedup, quality_classifier, quality_rules, sharding, simhash
 
-_MODULES = [line_dedup, quality_classifier, sharding, quality_rules]
+_MODULES = [line_dedup, quality_classifier, simhash, sharding, quality_rules]
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: q for m in _MODULES for name, q in m.ORACLE.items()}

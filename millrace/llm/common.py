@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +48,10 @@ def text_key(text: Column) -> Column:
 
 def vocabulary_dir() -> str:
     return os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder, and read from there."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

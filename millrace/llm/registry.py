@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, line_dedup, quality_classifier, quality_rules, sharding, simhash
+from millrace.llm import bpe, decontaminate, line_dedup, quality_classifier, quality_rules, sharding, simhash
 
-_MODULES = [line_dedup, quality_classifier, simhash, decontaminate, sharding, quality_rules]
+_MODULES = [line_dedup, quality_classifier, simhash, decontaminate, sharding, quality_rules, bpe]
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: q for m in _MODULES for name, q in m.ORACLE.items()}

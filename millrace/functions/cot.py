@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,16 +33,26 @@ def clean(text: Column, forced: Column) -> Column:
     """One paragraph with the required beginning and end; null text is empty, Chinese characters give null."""
     out = t.strip(F.replace(t.strip(text), F.lit("```"), F.lit("")))
     for label in LABELS:
-        out = F.when(out.startswith(label), F.regexp_replace(F.substr(out, F.lit(len(label) + 1)), rf"\A{t.SPACE}+", "")).otherwise(out)
-    flat = F.array_join(t.tail_lines(out), " ")
+        out = t.let(out, _without(label))
+    done = t.let(F.array_join(t.tail_lines(out), " "), lambda flat: F.when(~has_cjk(flat), t.let(_prefixed(flat), lambda whole: _ended(whole, forced))))
+    return F.when(text.isNull(), F.lit("")).otherwise(done)
+
+
+def _without(label: str) -> Callable[[Column], Column]:
+    return lambda text: F.when(text.startswith(label), F.regexp_replace(F.substr(text, F.lit(len(label) + 1)), rf"\A{t.SPACE}+", "")).otherwise(text)
+
+
+def _prefixed(flat: Column) -> Column:
+    after = lambda at: F.regexp_replace(F.substr(flat, at + len(PHRASE)), rf"\A{t.SPACE}+", "")
     at = F.locate(PHRASE, flat)
-    after = F.regexp_replace(F.substr(flat, at + len(PHRASE)), rf"\A{t.SPACE}+", "")
-    whole = F.when(flat.startswith(PREFIX), flat).when(at > 0, F.concat(F.lit(PREFIX + " "), after)).otherwise(F.concat(F.lit(PREFIX + " "), flat))
-    choice = F.coalesce(forced, choice_letter(whole), F.lit("A"))
+    return F.when(flat.startswith(PREFIX), flat).when(at > 0, F.concat(F.lit(PREFIX + " "), after(at))).otherwise(F.concat(F.lit(PREFIX + " "), flat))
+
+
+def _ended(whole: Column, forced: Column) -> Column:
     bare = whole
     for ending in (r"The answer is@\([A-J]\)\.?", r"Answer@:@\(?[A-J]\)?\.?"):
         bare = t.strip(F.regexp_replace(bare, rf"{t.SPACE}*{ending.replace('@', t.SPACE + '*')}{t.SPACE}*\z", ""))
-    return F.when(text.isNull(), F.lit("")).when(~has_cjk(flat), F.concat(bare, F.lit(" The answer is ("), choice, F.lit(").")))
+    return F.concat(bare, F.lit(" The answer is ("), F.coalesce(forced, choice_letter(whole), F.lit("A")), F.lit(")."))
 
 
 def is_error(text: Column) -> Column:

@@ -194,7 +194,9 @@ def classify(docs: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, model: RuleModel, text_col: str = "text") -> DataFrame:
     """The rows that are kept, with all their columns."""
-    return _scored(docs, model, text_col).filter("_keep").select("_row.*")
+    # a filter would be pushed below the statistics, with a copy of them for every rule; a generator is not
+    kept = _scored(docs, model, text_col).select(F.explode(F.when(F.col("_keep"), F.array("_row"))).alias("_row"))
+    return kept.select("_row.*")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

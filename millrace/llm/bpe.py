@@ -74,21 +74,25 @@ class Encoder:
         if isinstance(self.words, pa.ChunkedArray):
             self.words, self.ids = self.words.chunk(0), self.ids.chunk(0)
 
-    def encode(self, split: pa.Array) -> pa.ListArray:
-        """split: a list of words for each text; null for a null text."""
+    def encode(self, split: pa.Array, rows: int = 500) -> Iterator[tuple[int, pa.ListArray]]:
+        """split: a list of words for each text, null for a null text. Gives (first row, ids), some rows at a time."""
         sizes = split.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         flat = split.flatten().cast(pa.string()).dictionary_encode()
-        distinct, at = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
+        distinct, at = flat.dictionary, flat.indices
         known = pc.index_in(distinct, value_set=self.words)
         rest = distinct.filter(pc.is_null(known))
-        ids = pa.concat_arrays([self.ids, encode_words(rest, self.path)])
-        place = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        place[place < 0] = len(self.words) + np.arange(len(rest))
-        where = place[at]
-        tokens = ids.take(pa.array(where))
-        counts = np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))])
-        offsets = counts[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), tokens.flatten(), mask=split.is_null() if split.null_count else None)
+        ids = pa.concat_arrays([self.ids.take(known.drop_null()), encode_words(rest, self.path)])
+        new = np.asarray(pc.is_null(known).to_numpy(zero_copy_only=False), bool)
+        place = np.empty(len(distinct), np.int64)
+        place[~new], place[new] = np.arange(len(distinct) - len(rest)), len(distinct) - len(rest) + np.arange(len(rest))
+        ids, ends = ids.take(pa.array(place)), np.concatenate([[0], np.cumsum(sizes)])
+        for row in range(0, len(split), rows):
+            to = min(len(split), row + rows)
+            tokens = ids.take(at.slice(ends[row], ends[to] - ends[row]))
+            counts = np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))])
+            offsets = counts[ends[row : to + 1] - ends[row]].astype(np.int32)
+            nulls = split.slice(row, to - row).is_null()
+            yield row, pa.ListArray.from_arrays(pa.array(offsets), tokens.flatten(), mask=nulls if pc.any(nulls).as_py() else None)
 
 
 def decode_ids(ids: pa.ListArray, path: str) -> pa.Array:
@@ -107,6 +111,11 @@ def decode_ids(ids: pa.ListArray, path: str) -> pa.Array:
     return pc.if_else(pc.or_(ids.is_null(), wrong), pa.scalar(None, pa.large_binary()), whole)
 
 
+def _joined(words: pa.ListArray) -> pa.Array:
+    """The text that each list of words makes up, as bytes; null for a null list."""
+    return pc.binary_join(words.cast(pa.list_(pa.binary())), b"").cast(pa.large_binary())
+
+
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """(doc_id, n_words, n_tokens, token_ids, round_trip) of each row; round_trip: the ids decode to the text."""
     path = ranks or f"{vocabulary_dir()}/{RANKS}"
@@ -116,15 +125,15 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value, path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2500):
-                part = batch.slice(at, 2500)
-                ids = encoder.encode(part.column("words"))
-                text = part.column("text").cast(pa.large_binary())
-                same = pc.equal(decode_ids(ids, path), text).fill_null(True)
-                lengths = [x.value_lengths().fill_null(0).cast(pa.int64()) for x in (part.column("words"), ids)]
+            for at, ids in encoder.encode(batch.column("words")):
+                part = batch.slice(at, len(ids))
+                words = part.column("words")
+                lengths = [x.value_lengths().fill_null(0).cast(pa.int64()) for x in (words, ids)]
+                same = pc.equal(decode_ids(ids, path), _joined(words))
+                same = pc.and_(same, pc.equal(pc.cast(pc.binary_length(_joined(words)), pa.int64()), part.column("size"))).fill_null(True)
                 yield pa.RecordBatch.from_arrays([part.column("id"), *lengths, ids, same], names=["id", "n_words", "n_tokens", "token_ids", "round_trip"])
 
-    rows = own.select("id", "text", pretokens(F.col("text")).alias("words"))
+    rows = own.select("id", F.octet_length("text").cast("long").alias("size"), pretokens(F.col("text")).alias("words"))
     zero = F.lit(0).cast("long")
     schema = rows.select("id", zero.alias("n_words"), zero.alias("n_tokens"), F.lit(None).cast("array<int>").alias("token_ids"), F.lit(True).alias("round_trip")).schema
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions import code, cot, extract, rewards
 from millrace.functions import text as t
 from millrace.operators import chat, contest, decontam, mixture, quality, resume
+from millrace.streaming import generation, providers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -643,3 +644,37 @@ def _(tables):
 @query("eval_prompt", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || chr(10) || chr(10) || 'Options:' || chr(10) || lang ELSE source END AS prompt FROM documents")
 def _(tables):
     return tables("documents").select("doc_id", chat.with_options(F.col("source"), F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).alias("prompt"))
+
+
+# --- sources and resumed generation ----------------------------------------------------------------
+
+
+@query("json_roundtrip_align", "SELECT event_id, event_type, props FROM events")
+def _(tables):
+    rows = tables("events").select("event_id", "event_type", "props")
+    packed = rows.select(F.to_json(F.struct("event_id", "event_type", "props")).alias("line"))
+    return packed.select(F.from_json("line", "event_id long, event_type string, props string").alias("r")).select("r.*")
+
+
+@query("schema_grouping_text", "SELECT source AS text FROM documents UNION ALL SELECT text FROM benchmark")
+def _(tables):
+    first = chat.to_text(tables("documents").select("source"))
+    return first.unionByName(chat.to_text(tables("benchmark").select("item_id", "text")))
+
+
+@query("generation_resume", "SELECT item_id, CASE WHEN item_id % 5 = 0 THEN '__ERROR__ ValueError: no' ELSE 'A' || length(text) END AS cot_content FROM benchmark")
+def _(tables):
+    def call(prompt: str) -> str:
+        item, _, text = prompt.partition("|")
+        if int(item) % 5 == 0:
+            raise ValueError("no")
+        return f"A{len(text)}"
+
+    rows = tables("benchmark").select("item_id", F.concat_ws("|", "item_id", "text").alias("prompt"))
+    return generation.generate(rows, generation.with_retries(call, 2, 0.0)).select("item_id", "cot_content")
+
+
+@query("code_execution", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 1::DOUBLE ELSE 0::DOUBLE END AS reward FROM documents")
+def _(tables):
+    script = F.when(F.col("doc_id") % 2 == 0, F.concat("source", F.lit("\n1.0"))).otherwise(F.col("source"))
+    return tables("documents").select("doc_id", providers.execute(script, F.lit("python")).alias("reward"))

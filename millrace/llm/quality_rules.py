@@ -35,11 +35,11 @@ def normal_line(line: Column) -> Column:
 def _lines(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """A row for each line of each document; the hashes are null for a blank line or a null text."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(host_col).cast("string").alias("host"))
-    lines = base.select("id", "host", text_key(F.col("text")).alias("th"), F.explode_outer(F.split("text", "\n", -1)).alias("line"))
-    lines = lines.select("id", "host", "th", F.nullif(normal_line(F.col("line")), F.lit("")).alias("line"))
+    lines = base.select("id", "host", text_key(F.col("text")).alias("th"), F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = lines.select("id", "host", "th", (F.coalesce("pos", F.lit(0)) == 0).alias("top"), F.nullif(normal_line(F.col("line")), F.lit("")).alias("line"))
     written = F.col("line").isNotNull()
     return lines.select(
-        "id", F.struct("host").alias("host"), "th", F.when(written, F.xxhash64("line")).alias("h1"), F.when(written, F.xxhash64(F.lit("line"), "line")).alias("h2"), F.length("line").alias("size")
+        "id", F.struct("host").alias("host"), "th", "top", F.when(written, F.xxhash64("line")).alias("h1"), F.when(written, F.xxhash64(F.lit("line"), "line")).alias("h2"), F.length("line").alias("size")
     )
 
 
@@ -52,10 +52,11 @@ def depleted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         common = F.broadcast(common)
     marked = lines.join(common, ["host", "h1", "h2"], "left")
     sums = marked.groupBy("id", "host", "th").agg(
-        F.count("h1").alias("n_lines"), F.count("gone").alias("n_removed"), F.sum("size").alias("total"), F.sum(F.when(F.col("gone").isNull(), F.col("size")).otherwise(0)).alias("left")
+        F.count_if("top").alias("repeats"), F.count("h1").alias("n_lines"), F.count("gone").alias("n_removed"), F.sum("size").alias("total"), F.sum(F.when(F.col("gone").isNull(), F.col("size")).otherwise(0)).alias("left")
     )
     share = F.when(F.col("total") > 0, F.coalesce("left", F.lit(0)) / F.col("total")).otherwise(F.lit(1.0))
-    return sums.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), "n_lines", "n_removed", share.alias("kept_share"), (share >= min_kept).alias("keep"))
+    repeats = F.col("repeats")
+    return sums.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), (F.col("n_lines") / repeats).cast("long").alias("n_lines"), (F.col("n_removed") / repeats).cast("long").alias("n_removed"), share.alias("kept_share"), (share >= min_kept).alias("keep"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,7 +95,7 @@ def _header(trained: bytes) -> int:
 
 
 def _distinctive(texts: list[str], toxic: np.ndarray) -> set[str]:
-    """Words whose contexts lie in toxic texts RATIO times as often as chance has it, and too often for chance among so many words."""
+    """Words with RATIO times the odds of lying in toxic texts, and with more contexts there than chance gives any among so many words."""
     seen: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
     size = [0, 0]
     for text, label in zip(texts, toxic):
@@ -109,7 +109,7 @@ def _distinctive(texts: list[str], toxic: np.ndarray) -> set[str]:
     for word, contexts in seen[1].items():
         k, o = len(contexts), len(seen[0].get(word, ()))
         share = k / (k + o)
-        if share > RATIO * p and k * math.log(share / p) + (o * math.log((1 - share) / (1 - p)) if o else 0) > need:
+        if k + 0.5 > RATIO * (o + 0.5) * p / (1 - p) and share > p and k * math.log(share / p) + (o * math.log((1 - share) / (1 - p)) if o else 0) > need:
             found.add(word)
     return found
 

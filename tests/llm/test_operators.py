@@ -1,0 +1,409 @@
+"""The ten operators against brute force, and on nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import random
+
+import numpy as np
+import pytest
+from oracle import differences
+from pyspark.sql import functions as F
+
+from millrace.llm import bpe, components, decontaminate, line_dedup, pii, quality_classifier, quality_rules, sharding, simhash, token_counts, toxicity
+from millrace.llm.common import vocabulary_dir
+from millrace.llm.registry import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+DDL = "doc_id long, text string, lang string, source string, n_chars long"
+PATH = f"{vocabulary_dir()}/{bpe.RANKS}"
+
+
+def words(rng, n, stock=4000):
+    return " ".join(f"w{rng.randrange(stock)}x" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty, blank and long texts, repeated rows, shared ids, and columns with internal names."""
+    rng = random.Random(1)
+    rows = [(1, "a\nb\na"), (2, None), (3, ""), (4, " \n\t"), (5, words(rng, 60_000)), (6, "x" * 80_000), (7, "b\nc"), (7, "b\nc"), (8, "one text"), (8, "another text"), (None, "a"), (9, "!!! ..."), (10, "😀 é \x1c z")]
+    extra = ", th long, pos int, kept string, id string, fp string, `key` string, words string, host string, _row int, _key string, score double"
+    return spark.createDataFrame([(i, t, None, None if k % 2 else "s", len(t) if t else None, 1, 2, "k", None, "f", "y", "w", "h", 3, "q", 0.5) for k, (i, t) in enumerate(rows)], DDL + extra)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DDL)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_oracle(spark, name):
+    assert differences(QUERIES[name](spark, SF), ORACLE[name], SF) == ""
+
+
+# line dedup
+
+
+def first_occurrences(rows):
+    seen, out = set(), {}
+    for i, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        bits = []
+        for line in [] if text is None else text.split("\n"):
+            bits.append(not line.strip(" \t\r") or line not in seen)
+            seen.add(line)
+        out[i] = None if text is None else bits
+    return out
+
+
+def test_line_dedup(spark, odd, none):
+    rows = [(r.doc_id, r.text) for r in odd.collect() if r.doc_id != 8]
+    got = line_dedup.line_keep_bitmaps(odd.filter("doc_id <> 8 OR doc_id IS NULL")).collect()
+    want = first_occurrences(rows)
+    assert len(got) == len(want)
+    for r in got:
+        assert (None if r.keep_bitmap is None else line_dedup.expand_runs(r.keep_bitmap)) == want[r.doc_id]
+        assert r.n_lines == len(want[r.doc_id] or []) and r.n_kept == sum(want[r.doc_id] or [])
+    assert line_dedup.line_keep_bitmaps(odd).filter("doc_id = 8").count() == 2
+    assert line_dedup.line_keep_bitmaps(none).count() == 0
+
+
+def test_line_dedup_random(spark):
+    rng = random.Random(3)
+    rows = [(i, "\n".join(rng.choice(["l", "m ", " ", "n", str(rng.randrange(40))]) for _ in range(rng.randrange(1, 30)))) for i in range(120)]
+    got = line_dedup.line_keep_bitmaps(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = first_occurrences(rows)
+    assert {r.doc_id: line_dedup.expand_runs(r.keep_bitmap) for r in got} == want
+
+
+def test_drop_repeated_lines(spark, odd, none):
+    out = line_dedup.drop_repeated_lines(odd)
+    assert out.columns == odd.columns and out.dtypes == odd.dtypes
+    texts = {(r.doc_id, r.text, r.n_chars) for r in out.collect()}
+    assert {(2, None, None), (3, "", 0), (4, " \n\t", 3), (7, "c", 1), (None, "a", 1)} <= texts
+    assert (1, "b", 1) in texts
+    assert line_dedup.drop_repeated_lines(none).count() == 0
+
+
+# toxicity
+
+
+def toxic_corpus(n, seed):
+    rng = random.Random(seed)
+    syllables = ["the", "an", "er", "on", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it"]
+    bad = ["vilebrag", "scumquat", "grotnaz", "moronique", "trashwald"]
+    rows = []
+    for i in range(n):
+        w = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(30, 150))]
+        toxic = int(rng.random() < 0.25)
+        for _ in range(rng.randrange(3, 7) if toxic else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(bad))
+        rows.append((i, " ".join(w), toxic))
+    return rows
+
+
+def test_toxicity(spark, odd, none):
+    rows = toxic_corpus(900, 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df, df.filter("doc_id < 600").select("doc_id", "toxic"))
+    got = {r.doc_id: r.toxic for r in toxicity.score(df, model).collect()}
+    held = [(got[i], y == 1) for i, _, y in rows if i >= 600]
+    assert sum(a and b for a, b in held) / sum(b for _, b in held) > 0.9
+    assert sum(a and not b for a, b in held) / sum(not b for _, b in held) < 0.05
+    assert toxicity.score(odd, model).filter("doc_id IN (2, 3, 4) AND (toxic OR n_windows > 0)").count() == 0
+    assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(none, model).count() == 0
+    blind = toxicity.train(df, none.select("doc_id", F.lit(1).alias("toxic")))
+    assert toxicity.score(df, blind).filter("toxic").count() == 0
+    tail = spark.createDataFrame([(1, rows[0][1] * 200 + " scumquat vilebrag grotnaz moronique trashwald")], "doc_id long, text string")
+    assert toxicity.score(tail, model).first().toxic  # the end of a long text counts
+
+
+def test_windows_cover_the_text():
+    for text in ("a b  c" * 300, "x" * 1000, " a ", ""):
+        assert b"".join(toxicity.windows(text)).replace(b" ", b"") == text.replace(" ", "").encode()
+
+
+# token counts
+
+
+def test_token_edits():
+    rng = random.Random(7)
+    letters, touched, total = "ab c\n  '\tsdlreve12!?é😀x ", 0, 0
+    for _ in range(250):
+        text = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 40, 300, 3000])))
+        tree = token_counts.build(text, PATH)
+        for _ in range(4):
+            edit = (rng.randint(-2, len(text) + 2), rng.choice([0, 1, 5, 400]), "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 6, 200]))))
+            tree, text, n = token_counts.edit(tree, text, *edit, PATH)
+            touched, total = touched + n, total + len(text)
+            whole = token_counts.build(text, PATH)
+            assert (tree.tokens, tree.chars) == (whole.tokens, len(text))
+    assert touched < 0.5 * total
+
+
+def test_token_counts(spark, odd, none):
+    from millrace.llm.pretokens import encoding
+
+    one = encoding(PATH)
+    edits = spark.createDataFrame([(1, 2, 0, 1, "Z "), (1, 1, 3, 9, None), (10, 1, None, None, "new"), (77, 1, 0, 1, "")], "doc_id long, seq int, start int, removed int, inserted string")
+    got = sorted(((r.doc_id, r.n_tokens, r.n_tokens_after, r.n_chars_after) for r in token_counts.counts_after(odd, edits).collect()), key=str)
+    split = token_counts._WORDS.findall
+    count = lambda text: sum(len(one._encode_single_piece(w)) for w in split(text))
+    want = []
+    for r in odd.collect():
+        text = r.text or ""
+        after = {1: "Z \nb", 10: "new" + text}.get(r.doc_id, text)
+        want.append((r.doc_id, count(text), count(after), len(after)))
+    assert got == sorted(want, key=str)
+    assert token_counts.edited_counts(none, F.lit(None)).count() == 0
+
+
+# quality classifier
+
+
+def test_quality_classifier(spark, odd, none):
+    rng = random.Random(2)
+    rows = []
+    for i in range(600):
+        text = words(rng, rng.randrange(20, 200))
+        bad = i % 4 == 0
+        rows.append((i, [text.upper() + "!!", " ".join(w + "###" for w in text.split()), " ".join([text.split()[0]] * 60)][i % 3] if bad else text, int(not bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality_classifier.train(df, df.filter("doc_id < 400").select("doc_id", "quality"))
+    got = {r.doc_id: r.keep for r in quality_classifier.classify(df, model).collect()}
+    assert sum(got[i] == (q == 1) for i, _, q in rows if i >= 400) / 200 > 0.95
+    assert 0 < len(model.rules) < 200
+    # the compiled column says what the rules say
+    x = df.select("doc_id", *quality_classifier.statistics(F.col("text"))).select("doc_id", *quality_classifier.features()).toPandas().sort_values("doc_id")
+    want = model.predict(x[quality_classifier.FEATURES].to_numpy(float))
+    scores = [r.score for r in quality_classifier.classify(df, model).orderBy("doc_id").collect()]
+    assert np.allclose(want, scores)
+    kept = quality_classifier.keep_good(odd, model)
+    assert kept.dtypes == odd.dtypes and kept.filter("doc_id IN (2, 3, 4)").count() == 0
+    assert quality_classifier.classify(odd, model).count() == odd.count() and quality_classifier.classify(none, model).count() == 0
+    blind = quality_classifier.train(df, none.select("doc_id", F.lit(1).alias("quality")))
+    assert quality_classifier.keep_good(df, blind).count() == 600
+
+
+# SimHash
+
+
+def brute_groups(spark, df, distance):
+    prints = [(r.id, r.th, np.frombuffer(r.fp, np.uint64)) for r in simhash.document_prints(df, "doc_id", "text", 9).collect() if r.fp]
+    pairs = [(a[0], b[0]) for k, a in enumerate(prints) for b in prints[k + 1 :] if np.bitwise_count(a[2] ^ b[2]).sum() <= distance]
+    return prints, pairs
+
+
+def test_simhash(spark, odd, none):
+    rng = random.Random(4)
+    rows, copies = [], []
+    for i in range(60):
+        text = words(rng, rng.randrange(40, 300)).split()
+        rows.append((10 * i, " ".join(text)))
+        for k in range(i % 4):
+            changed = [f"z{rng.randrange(10**6)}" if rng.random() < 0.04 else w for w in text] if k else text
+            rows.append((10 * i + k + 1, " ".join(changed)))
+            copies.append((10 * i, 10 * i + k + 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.near_duplicates(df).collect()}
+    _, pairs = brute_groups(spark, df, simhash.MAX_DISTANCE)
+    assert np.mean([got[a].group_id == got[b].group_id for a, b in pairs]) > 0.95
+    assert np.mean([got[a].group_id == got[b].group_id for a, b in copies]) > 0.95
+    assert all(got[i].group_id // 10 == i // 10 for i in got)  # nothing else is joined
+    assert all(r.keep == (r.doc_id == r.group_id) for r in got.values())
+    out = simhash.near_duplicates(odd).collect()
+    assert len(out) == len({(r.doc_id, r.text) for r in odd.collect()}) and all(r.keep for r in out if r.doc_id in (2, 3, 4, 9))
+    stay = simhash.one_of_each_group(odd)
+    assert stay.dtypes == odd.dtypes and stay.filter("doc_id = 7").count() == 1 and stay.filter("doc_id IN (2, 3, 4)").count() == 3
+    assert simhash.near_duplicates(none).count() == 0 and simhash.one_of_each_group(none).count() == 0
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(df, blocks=7, block_bits=17)
+
+
+def test_large_blocks_agree_with_all_pairs():
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, (8, 9)).astype(np.uint64)
+    fp = base[rng.integers(0, 8, 700)] ^ (np.uint64(1) << rng.integers(0, 64, (700, 9)).astype(np.uint64))
+    keys = np.zeros(700, np.int64)
+
+    def groups(edges):
+        up = list(range(700))
+        for a, b in edges:
+            ra, rb = a, b
+            while up[ra] != ra:
+                ra = up[ra]
+            while up[rb] != rb:
+                rb = up[rb]
+            up[max(ra, rb)] = min(ra, rb)
+        out = []
+        for i in range(700):
+            while up[i] != i:
+                i = up[i]
+            out.append(i)
+        return out
+
+    small, large = simhash._edges_of(keys, fp, 40, large=10_000), simhash._edges_of(keys, fp, 40, large=10)
+    assert groups(small) == groups(large) and len(small) == len(large) == 700 - 8
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (5, 5), (60, 2), (200, 201), (202, 201)]
+    got = {r.u: r.v for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 41)}, 60: 0, 101: 100, 201: 200, 202: 200}
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# decontamination
+
+
+def smith_waterman(a, b):
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+    return h.max()
+
+
+def test_alignment():
+    rng = np.random.default_rng(1)
+    items, passages = [rng.integers(2, 9, n) for n in (8, 12, 30, 9)], [rng.integers(2, 9, n) for n in (5, 40, 60, 9)]
+    assert decontaminate.align(items, passages).tolist() == [smith_waterman(a, b) for a, b in zip(items, passages)]
+
+
+def test_decontamination(spark, odd, none):
+    rng = random.Random(6)
+    items = [(i, words(rng, rng.randrange(15, 45))) for i in range(30)] + [(90, "too short"), (91, None), (92, "")]
+    docs, want = [], set()
+    for d in range(200):
+        text = words(rng, rng.randrange(50, 400)).split()
+        if d % 3 == 0:
+            item = items[d % 30]
+            copy = [x for w in item[1].split() for x in ([w] if rng.random() > 0.15 else rng.choice([[], [w, "new"], ["other"]]))] if d % 2 else item[1].split()
+            at = rng.randrange(len(text))
+            text[at:at] = copy
+            want.add((d, item[0]))
+        docs.append((d, " ".join(text)))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.benchmark_matches(df, bench).collect()}
+    exact = {p for p in want if p[0] % 2 == 0}
+    assert set(got) <= want and exact <= set(got) and len(got) >= 0.9 * len(want)
+    assert all(got[p].score == 1.0 for p in exact)
+    # brute force: every item with every document
+    for d, text in docs[:12]:
+        for i, item in items[:30]:
+            score = smith_waterman(item.split(), text.split()) / (2 * len(item.split()))
+            assert (score >= decontaminate.MIN_SCORE) == ((d, i) in got)
+    clean = decontaminate.drop_contaminated(df, bench)
+    assert {r.doc_id for r in clean.collect()} == set(range(200)) - {d for d, _ in got}
+    assert decontaminate.drop_contaminated(odd, bench).dtypes == odd.dtypes and decontaminate.drop_contaminated(odd, bench).count() == odd.count()
+    assert decontaminate.benchmark_matches(odd, bench).count() == 0 and decontaminate.benchmark_matches(none, bench).count() == 0
+    assert decontaminate.benchmark_matches(df, bench.limit(0)).count() == 0 and decontaminate.drop_contaminated(df, bench.limit(0)).count() == 200
+
+
+def test_decontamination_by_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, words(rng, 20)) for i in range(9)]
+    df = spark.createDataFrame([(i, words(rng, 30) + " " + t) for i, t in items], "doc_id long, text string")
+    monkeypatch.setattr(decontaminate, "SLICE_WORDS", 50)
+    got = decontaminate.benchmark_matches(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(9)}
+
+
+# PII
+
+
+def test_pii(spark, odd, none):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        card = "".join(rng.choice("0123456789") for _ in range(16))
+        rows.append((i, f"{words(rng, 5)} pay {card} now. mail me.{i}@mail{i}.example.com, from {rng.randrange(256)}.{i}.7.9 call +1 ({100 + i}) 555-{1000 + i} key token = \"{rng.randbytes(20).hex()}\" in version 2.0"))
+    rows += [(100, "pay 300.400.5.6 now"), (101, "plain text of 1999 and 3 parts, version 2.0.")]
+    rows.append((102, f"seen {rng.randbytes(20).hex()} here"))
+    got = pii.identifiers(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, {})[r.kind] = r
+    assert all(set(by[i]) == {"card", "email", "ip", "phone", "secret"} for i in range(60))
+    assert any(not by[i]["card"].seed for i in range(60))  # check digit wrong, found by its form
+    assert set(by[100]) == {"ip"} and not by[100]["ip"].seed and set(by[102]) == {"secret"} and 101 not in by
+    texts = dict(rows)
+    assert all(texts[r.doc_id][r["from"] : r.to] == r.value for r in got)
+    assert pii.identifiers(odd).count() == 0 and pii.identifiers(none).count() == 0
+
+
+# sharding
+
+
+def brute_table(shards, slots):
+    import hashlib
+
+    prefer = {}
+    for s in shards:
+        d = hashlib.md5(s.encode()).digest()
+        offset, skip = int.from_bytes(d[:8], "big") % slots, int.from_bytes(d[8:], "big") % (slots - 1) + 1
+        prefer[s] = [(offset + j * skip) % slots for j in range(slots)]
+    owner = {}
+    while len(owner) < slots:
+        for k, s in enumerate(shards):
+            free = next((x for x in prefer[s] if x not in owner), None)
+            if free is not None:
+                owner[free] = k
+    return [owner[i] for i in range(slots)]
+
+
+def test_sharding(spark, odd, none):
+    import hashlib
+
+    names = [f"s{i}" for i in range(7)]
+    table = sharding.lookup_table(names, 101)
+    assert table == brute_table(names, 101)
+    sizes = np.bincount(table)
+    assert sizes.max() - sizes.min() <= 1
+    fewer = sharding.lookup_table(names[:-1], 101)
+    assert sum(a != b for a, b in zip(table, fewer) if a != 6) < 30
+    for r in sharding.place(odd, shards=names, slots=101).collect():
+        slot = int(hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest()[:15], 16) % 101
+        assert (r.slot, r.shard) == (slot, table[slot])
+    assert sharding.place(odd).count() == odd.count() and sharding.place(none).count() == 0
+    for bad in ((names, 100), ([], 101), (["a", "a"], 101)):
+        with pytest.raises(ValueError):
+            sharding.lookup_table(*bad)
+
+
+# quality rules
+
+
+def test_quality_rules(spark, odd, none):
+    rows = [(i, f"Menu {i}\nown line {chr(97 + i)}\nmenu   1", "h" if i < 6 else None) for i in range(12)] + [(20, "menu 5", "h"), (21, "menu 5", "other"), (22, None, "h"), (23, "\n", "h"), (20, "menu 5", "h")]
+    got = {r.doc_id: r for r in quality_rules.depleted_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_docs=5).collect()}
+    assert (got[0].n_lines, got[0].n_removed) == (3, 2) and got[0].keep
+    assert got[20].n_removed == 1 and not got[20].keep and got[21].keep and got[22].keep and got[23].keep and got[23].kept_share == 1.0
+    assert len(got) == 16
+    assert quality_rules.depleted_documents(odd).count() == len({(r.doc_id, r.text, r.source) for r in odd.collect()})
+    assert quality_rules.depleted_documents(none).count() == 0
+
+
+# BPE
+
+
+@pytest.mark.parametrize("room", [24 << 20, 3000, 0])
+def test_bpe(spark, odd, none, room):
+    import base64
+
+    import tiktoken
+
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    plain = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    docs = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.expr("doc_id + 1000").alias("doc_id"), "text"))
+    encoded = bpe.encode_corpus(docs, table_bytes=room)
+    got = sorted(((r.doc_id, r.token_ids) for r in encoded.collect()), key=str)
+    want = sorted(((r.doc_id, None if r.text is None else plain.encode_ordinary(r.text)) for r in docs.collect()), key=str)
+    assert got == want and encoded.filter("NOT round_trip").count() == 0
+    back = sorted(((r.doc_id, r.text) for r in bpe.decode_corpus(encoded).collect()), key=str)
+    assert back == sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert bpe.encode_corpus(none).count() == 0
+
+
+def test_decode_unknown_ids(spark):
+    rows = spark.createDataFrame([(1, [0, 60_000]), (2, [0, None]), (3, None), (4, []), (5, [31373])], "doc_id long, token_ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode_corpus(rows).collect()} == {1: None, 2: None, 3: None, 4: "", 5: "hello"}

@@ -128,9 +128,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = first_lines(docs, id_col, text_col).select(F.struct("id", "th").alias("_key"), F.struct("n", "kept").alias("_bitmap"))
     rows = docs.select(F.struct(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th")).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     text = F.col("_row").getField(text_col)
-    lines = F.split(text, "\n", -1)
     joined = rows.join(kept.hint("shuffle_hash"), "_key")
-    left = F.when(F.size("_bitmap.kept") == F.col("_bitmap.n"), text).otherwise(F.array_join(F.transform("_bitmap.kept", lambda p: F.get(lines, p)), "\n"))
+    # the lines are bound to a variable: a lambda would split the text again for each of them
+    picked = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.array_join(F.transform("_bitmap.kept", lambda p: F.get(lines, p)), "\n"))
+    left = F.when(F.size("_bitmap.kept") == F.col("_bitmap.n"), text).otherwise(F.get(picked, F.lit(0)))
     joined = joined.select("_row", F.when(F.col("_bitmap.n").isNull(), text).otherwise(left).alias("_text"))
     written = lambda c: F.length(F.trim(F.translate(c, "\n\t\r", "   "))) > 0
     joined = joined.filter(text.isNull() | written(F.col("_text")) | ~written(text))

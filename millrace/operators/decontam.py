@@ -30,7 +30,8 @@ def flags(corpus: DataFrame, benchmarks: dict[str, DataFrame], key: str = "doc_i
     size = lookup.agg(F.sum(F.octet_length("ngram") + 48)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         lookup = F.broadcast(lookup)
-    hits = ngram_rows(corpus, key, text, n).join(lookup, "ngram").groupBy(key).agg(*[F.bool_or(F.col("benchmark") == name).alias(f"contaminated_{name}") for name in benchmarks])
+    grams = corpus.select(key, F.explode(t.ngrams(t.split(t.normal(F.col(text))), n)).alias("ngram"))
+    hits = grams.join(lookup, "ngram").groupBy(key).agg(*[F.bool_or(F.col("benchmark") == name).alias(f"contaminated_{name}") for name in benchmarks])
     marked = corpus.join(hits, key, "left")
     return marked.withColumns({f"contaminated_{name}": F.coalesce(f"contaminated_{name}", F.lit(False)) for name in benchmarks})
 

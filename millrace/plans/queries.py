@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions import code, cot, extract, rewards
 from millrace.functions import text as t
 from millrace.operators import chat, contest, decontam, mixture, quality, resume
+from millrace.sources.scans import spread
 from millrace.streaming import generation, providers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +36,14 @@ CODED = f"""CASE doc_id % 4
 
 def query(name: str, sql: str | None = None):
     def add(make: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: make(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            def table(name: str) -> DataFrame:
+                df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+                return spread(df) if name == "documents" else df
+
+            return make(table)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return make

@@ -111,3 +111,9 @@ def read_upload(spark: SparkSession, paths: list[str]) -> DataFrame:
     if all(p.endswith(".json") for p in paths):
         return spark.read.option("multiLine", "true").json(paths)
     return spark.read.json(paths) if all(p.endswith(".jsonl") for p in paths) else spark.read.parquet(*paths)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer splits than half of them (a small file of one row group); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

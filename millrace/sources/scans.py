@@ -41,8 +41,8 @@ def expand_existing(patterns: list[str], root: str = ".") -> list[str]:
     return list({os.path.realpath(p): p for p in reversed(found)}.values())[::-1]
 
 
-def resolve(name: str | None, mixture: object = None, root: str = ".", catalog: dict[str, str] | None = None) -> str | None:
-    """Where a named dataset lies: a local path, an alias, a local override, or the catalog's entry. A mixture wins (None)."""
+def resolve(name: str | None, mixture: object = None, root: str = ".", catalog: dict[str, str] | None = None, local: tuple[str, ...] = ()) -> str | None:
+    """Where a named dataset lies: a local path, an alias, the data folder for names that end as one of `local`, or the catalog's entry. A mixture wins (None)."""
     if mixture is not None:
         return None
     if not name:
@@ -51,7 +51,7 @@ def resolve(name: str | None, mixture: object = None, root: str = ".", catalog:
         return os.path.join(root, ALIASES[name])
     if parquet_files(name):
         return name
-    if name.endswith("Mixture-of-Thoughts") and glob.glob(os.path.join(root, "data", "*.parquet")):
+    if local and name.endswith(local) and glob.glob(os.path.join(root, "data", "*.parquet")):
         return os.path.join(root, "data", "*.parquet")
     if catalog and name in catalog:
         return catalog[name]

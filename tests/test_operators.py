@@ -101,6 +101,10 @@ def test_scans(spark, tmp_path):
     with pytest.raises(ValueError):
         scans.resolve(None)
     assert scans.resolve("x", mixture=object()) is None and scans.resolve("data", root="/r") == "/r/data"
+    (tmp_path / "data").mkdir()
+    spark.range(1).toPandas().to_parquet(tmp_path / "data/a.parquet")
+    assert scans.resolve("org/own-set", root=str(tmp_path), local=("own-set",)).endswith("data/*.parquet")
+    assert scans.resolve("org/x", catalog={"org/x": "/c"}) == "/c"
     with pytest.raises(FileNotFoundError):
         scans.read(spark, str(tmp_path / "none"))
 

@@ -94,23 +94,35 @@ def _header(trained: bytes) -> int:
     return min(len(trained) // 4, 256)
 
 
+def _distinct_contexts(part: list[tuple[np.ndarray, np.ndarray]], words: int) -> np.ndarray:
+    """Of each word, in how many different contexts the part has it."""
+    if not part:
+        return np.zeros(words, np.int64)
+    word = np.concatenate([w for w, _ in part])
+    pairs = np.concatenate([c for _, c in part])
+    pairs ^= word * np.uint64(0xD6E8FEB86659FD93)
+    _, first = np.unique(pairs, return_index=True)
+    return np.bincount(word[first].astype(np.int64), minlength=words)
+
+
 def _distinctive(texts: list[str], toxic: np.ndarray) -> set[str]:
     """Words with RATIO times the odds of lying in toxic texts, and with more contexts there than chance gives any among so many words."""
-    seen: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
-    size = [0, 0]
+    number: dict[str, int] = {}
+    met: tuple[list, list] = ([], [])
     for text, label in zip(texts, toxic):
-        words = ["^", *_WORD.findall(text.lower()), "$"]
-        size[label] += len(words)
-        for a, b, c in zip(words, words[1:], words[2:]):
-            seen[label][b].add(hash((a, c)))
+        words = np.fromiter((number.setdefault(w, len(number)) for w in ("^", *_WORD.findall(text.lower()), "$")), np.uint64)
+        met[label].append((words[1:-1], words[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ words[2:] * np.uint64(0xC2B2AE3D27D4EB4F)))
+    size = [sum(len(w) for w, _ in part) for part in met]
+    contexts = [_distinct_contexts(part, len(number)) for part in met]
     p = size[1] / max(1, sum(size))
-    need = math.log(20 * (1 + len(seen[1])))
+    need = math.log(20 * (1 + int((contexts[1] > 0).sum())))
     found = set()
-    for word, contexts in seen[1].items():
-        k, o = len(contexts), len(seen[0].get(word, ()))
-        share = k / (k + o)
-        if k + 0.5 > RATIO * (o + 0.5) * p / (1 - p) and share > p and k * math.log(share / p) + (o * math.log((1 - share) / (1 - p)) if o else 0) > need:
-            found.add(word)
+    for word, i in number.items():
+        k, o = int(contexts[1][i]), int(contexts[0][i])
+        if k and k + 0.5 > RATIO * (o + 0.5) * p / (1 - p):
+            share = k / (k + o)
+            if share > p and k * math.log(share / p) + (o * math.log((1 - share) / (1 - p)) if o else 0) > need:
+                found.add(word)
     return found
 
 
@@ -126,12 +138,14 @@ def fit(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
     if not words:
         return none
     bad = [f" {w} ".encode() for i in train if toxic[i] for w in _WORD.findall(texts[i].lower()) if w in words]
-    good = [w for i in train if not toxic[i] for w in windows(texts[i])]
-    good = [good[i] for i in np.random.default_rng(3).permutation(len(good))[:60_000]]  # as much as a dictionary of this size takes
+    good: list[bytes] = []
+    for i in np.random.default_rng(3).permutation([i for i in train if not toxic[i]]).tolist():
+        if len(good) < 60_000:  # as much as a dictionary of this size takes
+            good += windows(texts[i])
     model = ToxicityModel(_content(good, ORDINARY_BYTES), _toxic_content(bad))
     pair = model.compressors()
     check = np.flatnonzero(held)
-    drops = [model.drops(texts[i], pair) for i in check]
+    drops = [model.drops(texts[i], pair).astype(np.int8) for i in check]
     y = toxic[check]
     best = None
     for drop in range(3, 13):

@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words of documents and items are hashed. A first pass counts, over all documents, in how many of them
-each word trigram of the benchmark occurs; the rarest half of every item's trigrams are its seeds. A
-second pass joins documents to items on seeds and aligns each item with the passage round its seeds
-by Smith-Waterman over words (match +2, mismatch -1, gap -1). The score is the alignment's share of a
-perfect copy's; a document holds an item from `min_score` on, so copies with a third of the words
-replaced, inserted or lost are still found.
+Words of documents and items are hashed. Every word trigram of an item is a seed: an edited copy keeps
+some of them, and which ones cannot be told from how rare they are. One pass over the documents looks
+the seeds up and aligns each item with the passage round its seeds by Smith-Waterman over words (match
++2, mismatch -1, gap -1). The score is the alignment's share of a perfect copy's; a document holds an
+item from `min_score` on. Passages that share too few words with the item to reach that are not
+aligned, which loses nothing. A copy is found if three words in a row are left anywhere in it.
 
 Defined results
 ---------------
@@ -17,12 +17,11 @@ Defined results
 * An empty benchmark or corpus gives no rows.
 
 Scale: no document moves. What is sent to tasks is a slice of the benchmark of at most SLICE_WORDS
-words; a larger benchmark is worked off slice by slice. Trigram counts combine before their shuffle.
+words; a larger benchmark is worked off slice by slice.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from millrace.llm.common import table
 
-SEED, MIN_WORDS, MIN_SCORE, RARE_SHARE, LEAST_SEEDS, SLICE_WORDS = 3, 8, 0.5, 0.5, 8, 4_000_000
+SEED, MIN_WORDS, MIN_SCORE, SLICE_WORDS = 3, 8, 0.5, 4_000_000
 _TABLE_BITS = 22
 
 
@@ -94,45 +93,45 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
 
 
 class Slice:
-    """A slice of the benchmark as tasks use it: words of the items, and which items a seed belongs to."""
-
-    def __init__(self, items: list[np.ndarray], seeds: dict[int, list[tuple[int, int]]] | None = None):
-        self.items = items
-        self.where: dict[int, list[tuple[int, int]]] = seeds if seeds is not None else defaultdict(list)
-        if seeds is None:
-            for i, words in enumerate(items):
-                for q, h in enumerate(seed_hashes(words).tolist()):
-                    self.where[h].append((i, q))
-        self.seeds = Seeds(np.array(list(self.where), np.uint64))
-        self.places = [self.where[h] for h in self.seeds.sorted.tolist()]
-
-    def rare(self, documents: dict[int, int]) -> Slice:
-        """Only the rarest seeds of each item; documents: how many hold the seed."""
-        mine: list[list[tuple[int, int, int]]] = [[] for _ in self.items]
-        for h, places in self.where.items():
-            for i, q in places:
-                mine[i].append((documents.get(h, 0), q, h))
-        kept: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, own in enumerate(mine):
-            for _, q, h in sorted(own)[: max(LEAST_SEEDS, round(RARE_SHARE * len(own)))]:
-                kept[h].append((i, q))
-        return Slice(self.items, kept)
+    """A slice of the benchmark as tasks use it: words of the items, and at which places of items a seed occurs."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.items, self.sets = items, [np.unique(x) for x in items]
+        self.sizes = np.array([len(x) for x in items], np.int64)
+        hashes = [seed_hashes(x) for x in items]
+        every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.seeds = Seeds(every)
+        # the places of seed s are at first[s] to first[s + 1]
+        order = np.argsort(every, kind="stable")
+        self.item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])[order]
+        self.at = np.concatenate([np.arange(len(h)) for h in hashes] or [np.zeros(0, np.int64)])[order]
+        self.first = np.append(np.searchsorted(every[order], self.seeds.sorted), len(every))
+
+    def passages(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, from, to) of the passages round seeds on near diagonals."""
+        d, p, s = self.seeds.find(words, offsets)
+        times = self.first[s + 1] - self.first[s]
+        hit = np.repeat(np.arange(len(s)), times)
+        place = np.arange(len(hit)) + np.repeat(self.first[s] - np.cumsum(times) + times, times)
+        d, i, diagonal = d[hit], self.item[place], p[hit] - self.at[place]
+        order = np.lexsort((diagonal, i, d))
+        d, i, diagonal = d[order], i[order], diagonal[order]
+        new = np.ones(len(d), bool)
+        new[1:] = (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (np.diff(diagonal) > self.sizes[i[1:]])
+        low = np.flatnonzero(new)
+        high = np.append(low[1:], len(d))[: len(low)] - 1
+        d, i, n = d[low], i[low], self.sizes[i[low]]
+        slack = n // 2 + 4
+        yield from zip(*(x.tolist() for x in (d, i, np.maximum(0, diagonal[low] - slack), np.minimum(offsets[d + 1] - offsets[d], diagonal[high] + n + slack))))
 
     def match(self, words: np.ndarray, offsets: np.ndarray, min_score: float) -> list[tuple[int, int, float, int, int]]:
         """(document, item, score, passage from, to) of each document that holds an item."""
-        diagonals: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for d, p, s in zip(*(x.tolist() for x in self.seeds.find(words, offsets))):
-            for i, q in self.places[s]:
-                diagonals[d, i].append(p - q)
         todo = []
-        for (d, i), found in diagonals.items():
-            n, size = len(self.items[i]), int(offsets[d + 1] - offsets[d])
-            slack, found = n // 2 + 4, sorted(found)
-            first = 0
-            for k in range(1, len(found) + 1):
-                if k == len(found) or found[k] - found[k - 1] > n:
-                    todo.append((n, d, i, max(0, found[first] - slack), min(size, found[k - 1] + n + slack)))
-                    first = k
+        for d, i, a, b in self.passages(words, offsets):
+            n, own, passage = len(self.items[i]), self.sets[i], words[offsets[d] + a : offsets[d] + b]
+            # each match of an alignment takes a word of the passage that the item has too
+            if np.count_nonzero(own[np.minimum(np.searchsorted(own, passage), len(own) - 1)] == passage) >= min_score * n:
+                todo.append((n, d, i, a, b))
         todo.sort(key=lambda x: (x[4] - x[3], x[0]))
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         at = 0
@@ -155,36 +154,22 @@ def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return words.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
 
 
-def slices(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, min_words: int) -> Iterator[tuple[list, Slice]]:
-    """(item ids, slice with rare seeds); the slice's seeds are ranked by a pass over all documents."""
-    spark = docs.sparkSession
+def slices(benchmark: DataFrame, item_col: str, text_col: str, min_words: int) -> Iterator[tuple[list, Slice]]:
+    """(item ids, slice)"""
     rows = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(text_col)).alias("words")).filter(F.size("words") >= max(min_words, SEED))
 
-    def ranked(items: list) -> tuple[list, Slice]:
-        every = Slice([np.array(x.words, np.int64) for x in items])
-        sent = spark.sparkContext.broadcast(every.seeds)
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seeds = sent.value
-            for batch in batches:
-                doc, _, which = seeds.find(*_flat(batch.column("words")))
-                pairs = np.unique(np.stack([doc, which], 1), axis=0)
-                found, times = np.unique(pairs[:, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(times.astype(np.int64))], names=["seed", "docs"])
-
-        counted = docs.select(word_hashes(F.col("text")).alias("words")).mapInArrow(count, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs"))
-        documents = {int(every.seeds.sorted[r.seed]): r.docs for r in counted.collect()}  # at most the slice's trigrams
-        return [x.item for x in items], every.rare(documents)
+    def sliced(items: list) -> tuple[list, Slice]:
+        return [x.item for x in items], Slice([np.array(x.words, np.int64) for x in items])
 
     held, size = [], 0
     for row in rows.toLocalIterator():
         held.append(row)
         size += len(row.words)
         if size >= SLICE_WORDS:
-            yield ranked(held)
+            yield sliced(held)
             held, size = [], 0
     if held:
-        yield ranked(held)
+        yield sliced(held)
 
 
 def benchmark_matches(
@@ -196,7 +181,7 @@ def benchmark_matches(
     schema = StructType([StructField("id", kind[0]), StructField("item", kind[1]), StructField("score", DoubleType()), StructField("passage_from", LongType()), StructField("passage_to", LongType())])
     batch_type = to_arrow_type(kind[1])
     out = docs.sparkSession.createDataFrame([], schema)
-    for names, part in slices(own, benchmark, item_col, item_text_col, min_words):
+    for names, part in slices(benchmark, item_col, item_text_col, min_words):
         sent = docs.sparkSession.sparkContext.broadcast((names, part))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -228,7 +213,7 @@ def _holds(sent, min_score: float):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows that hold no item, with all their columns; nothing is joined or moved."""
     kept = docs
-    for _, part in slices(docs.select(F.col(text_col).alias("text")), benchmark, item_col, item_text_col, min_words):
+    for _, part in slices(benchmark, item_col, item_text_col, min_words):
         sent = docs.sparkSession.sparkContext.broadcast(part)
 
         kept = kept.filter(~_holds(sent, min_score)(word_hashes(F.col(text_col))))

@@ -297,6 +297,21 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.benchmark_matches(df, bench.limit(0)).count() == 0 and decontaminate.drop_contaminated(df, bench.limit(0)).count() == 200
 
 
+@pytest.mark.parametrize("edited", [0.2, 0.25, 0.33])
+def test_decontamination_of_edited_copies(spark, edited):
+    rng = random.Random(round(100 * edited))
+    items = [words(rng, n, 10**9).split() for n in range(15, 60) for _ in range(8)]
+    docs, want = [], set()
+    for i in range(len(items)):  # one copy each: what the edits destroyed occurs nowhere
+        copy = [words(rng, 1, 10**9) if rng.random() < edited else w for w in items[i]]
+        docs.append((i, " ".join([words(rng, 50, 10**9), *copy, words(rng, 50, 10**9)])))
+        if smith_waterman(items[i], copy) >= 2 * len(copy) * decontaminate.MIN_SCORE:
+            want.add((i, i))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_matches(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert len(want) > 100 and got <= want and len(got) >= 0.98 * len(want)
+
+
 def test_decontamination_by_slices(spark, monkeypatch):
     rng = random.Random(8)
     items = [(i, words(rng, 20)) for i in range(9)]

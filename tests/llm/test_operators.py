@@ -344,6 +344,24 @@ def test_pii(spark, odd, none):
     assert pii.identifiers(odd).count() == 0 and pii.identifiers(none).count() == 0
 
 
+def test_pii_by_context_alone(spark):
+    rng = random.Random(10)
+    letters = lambda: "".join(rng.choice("abcdefghijkmnopqrstuvw") for _ in range(14))
+    rows = []
+    for i in range(40):
+        rows.append((i, f"{words(rng, 4)} please call +1 ({100 + i}) 555-{1000 + i} soon {words(rng, 4)} password = \"{rng.randbytes(9).hex()}\" {words(rng, 3)} page {i} of {200 + i} theme = {letters()} ok"))
+    forms = ["(020) 7946 0958", "555-123-4567", "0049/30/123456"]
+    rows += [(100 + k, f"{words(rng, 4)} please call {form} soon {words(rng, 4)}") for k, form in enumerate(forms)]
+    secret = letters()
+    rows += [(200, f"password = {secret} ok"), (201, f"{words(rng, 3)} page A-77 of {letters()}"), (202, f"theme = {secret}")]
+    got = {}
+    for r in pii.identifiers(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.kind, r.value))
+    assert all({k for k, _ in got[i]} == {"phone", "secret"} and len(got[i]) == 2 for i in range(40))
+    assert [got.get(100 + k) for k in range(3)] == [[("phone", form)] for form in forms]
+    assert got[200] == [("secret", secret)] and 201 not in got and 202 not in got
+
+
 # sharding
 
 

@@ -3,7 +3,8 @@
 A line is normalised (lower case, white space collapsed, digit runs as 0) and hashed to 128 bits.
 The distinct documents holding it are counted per host; a line in more than `max_docs` documents of
 its host is boilerplate and is removed there. A document left with less than `min_kept` of its
-characters is rejected.
+characters is rejected. `depleted_documents` gives the counts of each document, `kept_lines` its
+keep bitmap, and `drop_common_lines` the documents that stay, without their common lines.
 
 Defined results
 ---------------
@@ -11,11 +12,13 @@ Defined results
   host and text) are one document.
 * Blank lines are neither counted nor removed; a document without characters has a kept share of
   1.0 and is kept. Null text counts as no lines. A null host is a host of its own.
+* Removing keeps the other lines as they are, blank ones too. Null and blank texts stay as they are.
 * The empty table gives no rows; other columns are ignored.
 
 Scale: documents bring each line once, counts combine before the shuffle, and only hashes move.
 The lines above the limit are broadcast when their checked number is small; otherwise they join
-by a shuffle, where adaptive execution splits hot hosts and lines.
+by a shuffle, where adaptive execution splits hot hosts and lines. Only `drop_common_lines` moves
+texts, once, since their decisions come from other partitions.
 """
 
 from __future__ import annotations
@@ -36,33 +39,89 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     """A row for each line of each document; the hashes are null for a blank line or a null text."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(host_col).cast("string").alias("host"))
     lines = base.select("id", "host", text_key(F.col("text")).alias("th"), F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.select("id", "host", "th", (F.coalesce("pos", F.lit(0)) == 0).alias("top"), F.nullif(normal_line(F.col("line")), F.lit("")).alias("line"))
+    lines = lines.select("id", "host", "th", F.when(F.col("line").isNotNull(), F.col("pos")).alias("pos"), (F.coalesce("pos", F.lit(0)) == 0).alias("top"), F.nullif(normal_line(F.col("line")), F.lit("")).alias("line"))
     written = F.col("line").isNotNull()
     return lines.select(
-        "id", F.struct("host").alias("host"), "th", "top", F.when(written, F.xxhash64("line")).alias("h1"), F.when(written, F.xxhash64(F.lit("line"), "line")).alias("h2"), F.length("line").alias("size")
+        "id", F.struct("host").alias("host"), "th", "pos", "top", F.when(written, F.xxhash64("line")).alias("h1"), F.when(written, F.xxhash64(F.lit("line"), "line")).alias("h2"), F.length("line").alias("size")
     )
 
 
-def depleted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
-    """(doc_id, host, n_lines, n_removed, kept_share, keep) of each document."""
+def _marked(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int) -> DataFrame:
+    """The lines of documents; gone: 1 for those above the limit, null for the others."""
     lines = _lines(docs, id_col, text_col, host_col)
     counts = lines.filter("h1 IS NOT NULL").select("id", "th", "host", "h1", "h2").distinct().groupBy("host", "h1", "h2").agg(F.count("*").alias("docs"))
     common = cut(counts.filter(F.col("docs") > max_docs).select("host", "h1", "h2", F.lit(1).alias("gone")))
     if common.count() * 96 <= BROADCAST_BYTES:
         common = F.broadcast(common)
-    marked = lines.join(common, ["host", "h1", "h2"], "left")
+    return lines.join(common, ["host", "h1", "h2"], "left")
+
+
+def _share() -> Column:
+    return F.when(F.col("total") > 0, F.coalesce("left", F.lit(0)) / F.col("total")).otherwise(F.lit(1.0))
+
+
+def _left() -> Column:
+    return F.sum(F.when(F.col("gone").isNull(), F.col("size")).otherwise(0))
+
+
+def depleted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
+    """(doc_id, host, n_lines, n_removed, kept_share, keep) of each document."""
+    marked = _marked(docs, id_col, text_col, host_col, max_docs)
     sums = marked.groupBy("id", "host", "th").agg(
-        F.count_if("top").alias("repeats"), F.count("h1").alias("n_lines"), F.count("gone").alias("n_removed"), F.sum("size").alias("total"), F.sum(F.when(F.col("gone").isNull(), F.col("size")).otherwise(0)).alias("left")
+        F.count_if("top").alias("repeats"), F.count("h1").alias("n_lines"), F.count("gone").alias("n_removed"), F.sum("size").alias("total"), _left().alias("left")
     )
-    share = F.when(F.col("total") > 0, F.coalesce("left", F.lit(0)) / F.col("total")).otherwise(F.lit(1.0))
-    repeats = F.col("repeats")
+    share, repeats = _share(), F.col("repeats")
     return sums.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), (F.col("n_lines") / repeats).cast("long").alias("n_lines"), (F.col("n_removed") / repeats).cast("long").alias("n_removed"), share.alias("kept_share"), (share >= min_kept).alias("keep"))
 
 
+def _decided(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, min_kept: float) -> DataFrame:
+    """(id, host, th, n, gone, keep): lines of the text (null for a null text), sorted numbers of those to remove."""
+    sums = _marked(docs, id_col, text_col, host_col, max_docs).groupBy("id", "host", "th").agg(
+        (F.max("pos") + 1).alias("n"), F.sort_array(F.collect_set(F.when(F.col("gone").isNotNull(), F.col("pos")))).alias("gone"), F.sum("size").alias("total"), _left().alias("left")
+    )
+    return sums.select("id", "host", "th", "n", "gone", (_share() >= min_kept).alias("keep"))
+
+
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
+    """(doc_id, host, keep, line_bits) of each document: a character a line, 1 where the line stays and 0 where it is removed; null for a null text."""
+    decided = _decided(docs, id_col, text_col, host_col, max_docs, min_kept)
+    # between two removed lines a run of 1s
+    ends = F.concat("gone", F.array("n"))
+    runs = F.transform(ends, lambda p, k: F.repeat(F.lit("1"), (p - F.when(k > 0, F.get(F.col("gone"), k - 1) + 1).otherwise(0)).cast("int")))
+    return decided.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), "keep", F.when(F.col("n").isNotNull(), F.array_join(runs, "0")).alias("line_bits"))
+
+
+def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = "n_chars", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
+    """The documents that are not depleted, without the lines above the limit; their other columns as they were.
+
+    length_col, where present, becomes the new length. Repeated rows stay repeated.
+    """
+    decided = _decided(docs, id_col, text_col, host_col, max_docs, min_kept).filter("keep").select(F.struct("id", "host", "th").alias("_key"), F.col("gone").alias("_gone"))
+    key = F.struct(F.col(id_col).alias("id"), F.struct(F.col(host_col).cast("string").alias("host")).alias("host"), text_key(F.col(text_col)).alias("th"))
+    rows = docs.select(key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    text = F.col("_row").getField(text_col)
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, p: ~F.array_contains("_gone", p)), "\n")
+    joined = rows.join(decided.hint("shuffle_hash"), "_key").select("_row", F.when(F.size("_gone") == 0, text).otherwise(left).alias("_text"))
+    new_length = lambda c: c == length_col and docs.schema[c].dataType.typeName() in ("long", "integer")
+    return joined.select(*[
+        F.col("_text").alias(c) if c == text_col else F.length("_text").cast(docs.schema[c].dataType).alias(c) if new_length(c) else F.col("_row").getField(c).alias(c) for c in docs.columns
+    ])
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return depleted_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision for each line, which op9_quality_rules only counts (its columns are fixed by its SQL)."""
+    return kept_lines(table(spark, sf_dir, "documents"))
+
+
+def op9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the rule leaves, without boilerplate."""
+    return drop_common_lines(table(spark, sf_dir, "documents"))
+
+
 SQL = rf"""
 WITH lines AS (
   SELECT doc_id, source AS host, unnest(string_split(text, chr(10))) AS raw FROM documents
@@ -84,5 +143,5 @@ SELECT d.doc_id, d.source AS host, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lin
 FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {"op9_quality_rules": op9_quality_rules, "op9_kept_lines": op9_kept_lines, "op9_clean_documents": op9_clean_documents}
 ORACLE = {"op9_quality_rules": SQL}

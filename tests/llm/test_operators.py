@@ -414,6 +414,24 @@ def test_quality_rules(spark, odd, none):
     assert quality_rules.depleted_documents(none).count() == 0
 
 
+def test_common_lines_are_removed(spark, odd, none):
+    rows = [(i, f"Menu {i}\n\nOwn  line {chr(97 + i)}\nmenu   1\nlast", "h", 1) for i in range(6)]
+    rows += [(20, "menu 5", "h", 1), (20, "menu 5", "h", 1), (21, "menu 5", "other", 1), (22, None, "h", None), (23, "\n", "h", 1), (24, "plain text", None, 1), (25, "last\nthat is long enough", "h", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    bits = {r.doc_id: (r.line_bits, r.keep) for r in quality_rules.kept_lines(df, max_docs=5).collect()}
+    assert bits[0] == ("01100", True) and bits[20] == ("0", False) and bits[21] == ("1", True) and bits[22] == (None, True)
+    assert bits[23] == ("11", True) and bits[24] == ("1", True) and bits[25] == ("01", True) and len(bits) == 12
+    out = quality_rules.drop_common_lines(df, max_docs=5)
+    want = [(i, f"\nOwn  line {chr(97 + i)}", "h", 12) for i in range(6)] + [(21, "menu 5", "other", 6), (22, None, "h", None), (23, "\n", "h", 1), (24, "plain text", None, 10), (25, "that is long enough", "h", 19)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str) and out.dtypes == df.dtypes
+    stay = quality_rules.drop_common_lines(odd)
+    assert stay.dtypes == odd.dtypes and stay.count() == odd.count() and quality_rules.drop_common_lines(none).count() == 0
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = {r.doc_id: (r.n_removed, r.keep) for r in quality_rules.depleted_documents(docs, max_docs=1).collect()}
+    lines = {r.doc_id: (r.line_bits.count("0"), r.keep) for r in quality_rules.kept_lines(docs, max_docs=1).collect()}
+    assert lines == counts and any(n for n, _ in counts.values())
+
+
 # BPE
 
 

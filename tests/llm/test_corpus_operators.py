@@ -1,6 +1,7 @@
 """The ten operators against brute force, and on nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -116,8 +117,34 @@ def test_toxicity(spark, odd, none):
 
 
 def test_windows_cover_the_text():
-    for text in ("a b  c" * 300, "x" * 1000, " a ", ""):
-        assert b"".join(toxicity.windows(text)).replace(b" ", b"") == text.replace(" ", "").encode()
+    for text in ("a b  c" * 300, "x" * 1000, " a ", "", "Ä\n\tß é"):
+        for cut in (toxicity.windows, toxicity.wide):
+            assert b"".join(b"".join(cut(text)).split()) == "".join(text.lower().split()).encode()
+
+
+def test_toxicity_against_one_window_at_a_time(spark, odd):
+    rows = toxic_corpus(500, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df, df.select("doc_id", "toxic"), fit_rows=400)
+    assert model.toxic
+    plain, both = model.compressors()
+    size = lambda c, w: len(c.compress(toxicity.framed(w)))
+    empty, want = size(both, b""), {}
+    for i, text, _ in rows[:60]:
+        found = [(size(plain, w) - size(both, w), size(both, w) - empty) for w in re.findall(rb"\S{1,80}", text.lower().encode())]
+        n = sum(d >= model.drop and r <= model.rest for d, r in found)
+        want[i] = (len(found), n, max([d for d, r in found if r <= model.rest], default=0), n >= model.windows)
+    got = toxicity.score(df.filter("doc_id < 60"), model).collect()
+    assert {r.doc_id: (r.n_windows, r.toxic_windows, max(r.most, 0), r.toxic) for r in got} == {i: (a, b, max(c, 0), d) for i, (a, b, c, d) in want.items()}
+    again = toxicity.train(df.repartition(5), df.select("doc_id", "toxic"), fit_rows=400)
+    assert again == model  # samples don't depend on the layout of the table
+
+
+def test_equal_thresholds():
+    counts = np.zeros((4, len(toxicity.DROPS), len(toxicity.RESTS)), int)
+    counts[:2] = 3
+    model = toxicity.calibrated(toxicity.ToxicityModel(b"a", b"b"), counts, np.array([1, 1, 0, 0]))
+    assert (model.drop, model.rest, model.windows) == (toxicity.DROPS[0], toxicity.RESTS[0], 1)
 
 
 # token counts

@@ -10,7 +10,8 @@ Defined results
 * A line that is blank (empty or white space) is layout and is always kept.
 * Null text: null bitmap, zero lines. Empty text: one blank line, kept.
 * Rows repeated exactly (same id, same text) are one document and give one row; rows that share an
-  id but not a text are separate documents.
+  id but not a text are separate documents. drop_repeated_lines keeps one of the repeated rows, the first by a hash of all columns.
+* The empty table gives no rows. Long texts are read to their end; their lines move as hashes like all others.
 * Text matches byte for byte; other columns of the input are ignored, whatever their names.
 
 Scale: a line met a billion times would fill one range, so each batch of a map task first drops
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from millrace.llm.common import partitions, table, text_key
+from millrace.llm.common import keyed_rows, partitions, table, text_key
 
 _ORDER = ["h1", "h2", "id", "th", "pos"]
 
@@ -126,7 +127,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     blank text) stays as it is. length_col, where present, becomes the new length.
     """
     kept = first_lines(docs, id_col, text_col).select(F.struct("id", "th").alias("_key"), F.struct("n", "kept").alias("_bitmap"))
-    rows = docs.select(F.struct(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("th")).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = keyed_rows(docs, id_col, text_col)
     text = F.col("_row").getField(text_col)
     joined = rows.join(kept.hint("shuffle_hash"), "_key")
     # the lines are bound to a variable: a lambda would split the text again for each of them

@@ -4,8 +4,9 @@ Shallow trees are grown on bootstrap samples of labelled documents; every path f
 conjunctive rule. An L1-penalised logistic regression over the rules keeps few of them, and those
 compile to one Spark column expression, so scoring is a single narrow pass without Python.
 
-The fit uses at most `fit_rows` labelled documents, chosen by hash of their id; only their
-statistics reach the driver. Everything else sees every document.
+The fit uses at most `fit_rows` labelled documents, chosen by hash of their id, and each tree a bootstrap
+sample of at most `tree_rows` of each class; only statistics reach the driver. Everything else sees
+every document.
 
 Defined results
 ---------------
@@ -13,6 +14,7 @@ Defined results
 * No usable labels, or labels of one class only: the score is the share of good labels (1.0
   without any), so all written documents stand or fall together.
 * Several labels of one id: the lowest counts; null labels are ignored.
+* The empty table gives no rows; long texts are read whole. Cuts of equal gain: the middle one.
 * Each row is scored on its own, so repeated rows get equal scores; other columns are kept or
   ignored, whatever their names.
 """
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import table
 
-#: Bound of the labelled sample, trees, their depth, least rows of a leaf.
-FIT_ROWS, TREES, DEPTH, LEAF = 6000, 40, 3, 15
+#: Bound of the labelled sample, trees, their depth, least rows of a leaf, most rows of each class in a tree's bootstrap sample.
+FIT_ROWS, TREES, DEPTH, LEAF, TREE_ROWS = 6000, 40, 3, 15, 1000
 
 FEATURES = ["log_chars", "word_chars", "distinct_words", "stutter", "upper", "symbols", "digits", "stops", "line_chars", "distinct_lines"]
 
@@ -129,7 +131,7 @@ def _holds(x: np.ndarray, rule: Rule) -> np.ndarray:
     return held
 
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 7) -> RuleModel:
+def fit(x: np.ndarray, y: np.ndarray, seed: int = 7, tree_rows: int = TREE_ROWS) -> RuleModel:
     """Trees and lasso on four fifths of the rows; penalty and cut are chosen on the rest."""
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 1.0
@@ -143,7 +145,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 7) -> RuleModel:
     rules: set[Rule] = set()
     good, bad = np.flatnonzero(ty == 1), np.flatnonzero(ty == 0)
     for _ in range(TREES):  # balanced bootstrap samples
-        k = min(1000, max(len(good), len(bad)))
+        k = min(tree_rows, max(len(good), len(bad)))
         rows = np.concatenate([rng.choice(good, k), rng.choice(bad, k)])
         _grow(tx[rows], ty[rows], rng, DEPTH, (), rules)
     ordered = sorted(r for r in rules if 0.002 < _holds(tx, r).mean() < 0.998) or sorted(rules)
@@ -168,14 +170,14 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 7) -> RuleModel:
     return RuleModel(model.intercept, model.rules, float(top[len(top) // 2]))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> RuleModel:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS, tree_rows: int = TREE_ROWS) -> RuleModel:
     """Fit on at most fit_rows labelled documents, the first by hash of their id."""
     named = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y"))
     sample = named.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")  # fit_rows bounds the broadcast
     rows = rows.filter("trim(text) <> ''").select("id", "y", *statistics(F.col("text"))).select("id", "y", *features()).toPandas().sort_values(["id", *FEATURES])
     rows = rows.drop_duplicates("id").sample(frac=1, random_state=1) if len(rows) else rows
-    return fit(rows[FEATURES].to_numpy(float), rows["y"].to_numpy(float))
+    return fit(rows[FEATURES].to_numpy(float), rows["y"].to_numpy(float), tree_rows=tree_rows)
 
 
 def _scored(docs: DataFrame, model: RuleModel, text_col: str) -> DataFrame:
@@ -204,5 +206,23 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op4_quality_classifier": op4_quality_classifier}
-ORACLE: dict[str, str] = {}
+def op4_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics that the rules read, which SQL can say, unlike the fit."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", *statistics(F.col("text"))).select("doc_id", *features())
+
+
+SQL = r"""
+WITH parts AS (
+  SELECT doc_id, text, greatest(length(text), 1)::DOUBLE AS chars, string_split(trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g'), ' '), ' ') AS words, string_split(text, chr(10)) AS lines FROM documents
+), counted AS (
+  SELECT *, len(words)::DOUBLE AS n, len(lines)::DOUBLE AS m, len([i FOR i IN range(2, len(words) + 1) IF words[i] = words[i - 1]]) AS twice FROM parts
+)
+SELECT doc_id, ln(1 + length(text)::DOUBLE) AS log_chars, chars / n AS word_chars, len(list_distinct(words)) / n AS distinct_words, twice / n AS stutter,
+       len(regexp_extract_all(text, '\p{Lu}')) / chars AS upper, len(regexp_extract_all(text, '[#$%&*|<>{}=~^\\_!?+@\[\]]')) / chars AS symbols,
+       len(regexp_extract_all(text, '[0-9]')) / chars AS digits, len(regexp_extract_all(text, '[.,;:]')) / n AS stops, chars / m AS line_chars, len(list_distinct(lines)) / m AS distinct_lines
+FROM counted
+"""
+
+QUERIES = {"op4_quality_classifier": op4_quality_classifier, "op4_statistics": op4_statistics}
+ORACLE = {"op4_statistics": SQL}

@@ -6,8 +6,9 @@ and adding or removing a shard moves little beyond its own share. The table is o
 (`slots`), whatever the data, so it is broadcast; a document is placed by one hash and one lookup.
 
 Defined results: a null id is placed as the empty key; repeated ids share a shard; the empty table
-gives no rows; other columns are ignored. A shard count outside 1..slots, or a table size that is
-not prime, is a ValueError.
+gives no rows; other columns are ignored. Texts aren't read, so their length doesn't matter. Shards
+that prefer the same slot take it in the order they are listed. A shard count outside 1..slots, repeated
+names, a table size that is not prime, or an id column called slot or shard is a ValueError.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ def lookup_table(shards: list[str], slots: int = SLOTS) -> list[int]:
                 return owner
 
 
+def default_shards() -> list[str]:
+    return [f"shard-{i:05d}" for i in range(SHARDS)]
+
+
 def slot_of(key: Column, slots: int = SLOTS) -> Column:
     """Slot of a key: 60 bits of its md5, modulo the table's size."""
     text = F.coalesce(key.cast("string"), F.lit(""))
@@ -54,12 +59,11 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 def place(docs: DataFrame, id_col: str = "doc_id", shards: list[str] | None = None, slots: int = SLOTS) -> DataFrame:
     """(doc_id, slot, shard) of each row."""
-    spark = docs.sparkSession
-    owner = lookup_table(shards if shards is not None else [f"shard-{i:05d}" for i in range(SHARDS)], slots)
-    lookup = spark.createDataFrame(list(enumerate(owner)), "slot int, shard int")
-    keyed = docs.select(F.col(id_col), slot_of(F.col(id_col), slots).alias("slot")) if id_col not in ("slot", "shard") else None
-    if keyed is None:
+    if id_col in ("slot", "shard"):
         raise ValueError("the id column may not be called slot or shard")
+    owner = lookup_table(shards if shards is not None else default_shards(), slots)
+    lookup = docs.sparkSession.createDataFrame(list(enumerate(owner)), "slot int, shard int")
+    keyed = docs.select(F.col(id_col), slot_of(F.col(id_col), slots).alias("slot"))
     return keyed.join(F.broadcast(lookup), "slot").select(id_col, "slot", "shard")
 
 
@@ -67,5 +71,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents"))
 
 
+def _sql() -> str:
+    """The table is a string of two digits a slot; the slot is 60 bits of the id's md5, modulo the table's size."""
+    table_text = "".join(f"{shard:02d}" for shard in lookup_table(default_shards()))
+    return f"""
+WITH placed AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::UBIGINT % {SLOTS} AS INTEGER) AS slot FROM documents)
+SELECT doc_id, slot, CAST(substr('{table_text}', 2 * slot + 1, 2) AS INTEGER) AS shard FROM placed
+"""
+
+
 QUERIES = {"op8_sharding": op8_sharding}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op8_sharding": _sql()}

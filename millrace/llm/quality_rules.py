@@ -3,8 +3,8 @@
 A line is normalised (lower case, white space collapsed, digit runs as 0) and hashed to 128 bits.
 The distinct documents holding it are counted per host; a line in more than `max_docs` documents of
 its host is boilerplate and is removed there. A document left with less than `min_kept` of its
-characters is rejected. `depleted_documents` gives the counts of each document, `kept_lines` its
-keep bitmap, and `drop_common_lines` the documents that stay, without their common lines.
+characters is rejected. `line_decisions` gives the counts and the keep bits of each document,
+`drop_common_lines` the documents that stay, without their common lines.
 
 Defined results
 ---------------
@@ -13,9 +13,10 @@ Defined results
 * Blank lines are neither counted nor removed; a document without characters has a kept share of
   1.0 and is kept. Null text counts as no lines. A null host is a host of its own.
 * Removing keeps the other lines as they are, blank ones too. Null and blank texts stay as they are.
-* The empty table gives no rows; other columns are ignored.
+* A line in exactly max_docs documents stays, a document left with exactly min_kept stays. Long texts are read to their end.
+* The empty table gives no rows; other columns are ignored or carried.
 
-Scale: documents bring each line once, counts combine before the shuffle, and only hashes move.
+Scale: lines are hashed once and written; documents bring each line once, counts combine before the shuffle, and only hashes move.
 The lines above the limit are broadcast when their checked number is small; otherwise they join
 by a shuffle, where adaptive execution splits hot hosts and lines. Only `drop_common_lines` moves
 texts, once, since their decisions come from other partitions.
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BROADCAST_BYTES, cut, table, text_key
+from millrace.llm.common import BROADCAST_BYTES, cut, table, text_key, written
 
 MAX_DOCS, MIN_KEPT = 20, 0.3
 
@@ -39,56 +40,42 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     """A row for each line of each document; the hashes are null for a blank line or a null text."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(host_col).cast("string").alias("host"))
     lines = base.select("id", "host", text_key(F.col("text")).alias("th"), F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.select("id", "host", "th", F.when(F.col("line").isNotNull(), F.col("pos")).alias("pos"), (F.coalesce("pos", F.lit(0)) == 0).alias("top"), F.nullif(normal_line(F.col("line")), F.lit("")).alias("line"))
-    written = F.col("line").isNotNull()
-    return lines.select(
-        "id", F.struct("host").alias("host"), "th", "pos", "top", F.when(written, F.xxhash64("line")).alias("h1"), F.when(written, F.xxhash64(F.lit("line"), "line")).alias("h2"), F.length("line").alias("size")
-    )
+    pos, line = F.when(F.col("line").isNotNull(), F.col("pos")), F.nullif(normal_line(F.col("line")), F.lit(""))
+    lines = lines.select("id", "host", "th", pos.alias("pos"), line.alias("line"))
+    written_line = F.col("line").isNotNull()
+    h1, h2 = F.when(written_line, F.xxhash64("line")), F.when(written_line, F.xxhash64(F.lit("line"), "line"))
+    return lines.select("id", F.struct("host").alias("host"), "th", "pos", h1.alias("h1"), h2.alias("h2"), F.length("line").alias("size"))
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int) -> DataFrame:
-    """The lines of documents; gone: 1 for those above the limit, null for the others."""
-    lines = _lines(docs, id_col, text_col, host_col)
+def _decided(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, min_kept: float) -> DataFrame:
+    """(id, host, th, n, n_lines, n_removed, kept_share, gone): lines of the text (null for a null text), written and removed ones, sorted numbers of those removed."""
+    lines = written(_lines(docs, id_col, text_col, host_col), "lines")  # texts are split and normalised once
     counts = lines.filter("h1 IS NOT NULL").select("id", "th", "host", "h1", "h2").distinct().groupBy("host", "h1", "h2").agg(F.count("*").alias("docs"))
-    common = cut(counts.filter(F.col("docs") > max_docs).select("host", "h1", "h2", F.lit(1).alias("gone")))
+    common = cut(counts.filter(F.col("docs") > max_docs).select("host", "h1", "h2", F.lit(1).alias("is_common")))
     if common.count() * 96 <= BROADCAST_BYTES:
         common = F.broadcast(common)
-    return lines.join(common, ["host", "h1", "h2"], "left")
-
-
-def _share() -> Column:
-    return F.when(F.col("total") > 0, F.coalesce("left", F.lit(0)) / F.col("total")).otherwise(F.lit(1.0))
-
-
-def _left() -> Column:
-    return F.sum(F.when(F.col("gone").isNull(), F.col("size")).otherwise(0))
-
-
-def depleted_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
-    """(doc_id, host, n_lines, n_removed, kept_share, keep) of each document."""
-    marked = _marked(docs, id_col, text_col, host_col, max_docs)
+    marked = lines.join(common, ["host", "h1", "h2"], "left")
+    gone = F.col("is_common").isNotNull()
     sums = marked.groupBy("id", "host", "th").agg(
-        F.count_if("top").alias("repeats"), F.count("h1").alias("n_lines"), F.count("gone").alias("n_removed"), F.sum("size").alias("total"), _left().alias("left")
+        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("repeats"), (F.max("pos") + 1).alias("n"), F.count("h1").alias("n_lines"), F.count("is_common").alias("n_removed"),
+        F.sum("size").alias("total"), F.sum(F.when(~gone, F.col("size")).otherwise(0)).alias("left"), F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("gone"),
     )
-    share, repeats = _share(), F.col("repeats")
-    return sums.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), (F.col("n_lines") / repeats).cast("long").alias("n_lines"), (F.col("n_removed") / repeats).cast("long").alias("n_removed"), share.alias("kept_share"), (share >= min_kept).alias("keep"))
+    share = F.when(F.col("total") > 0, F.coalesce("left", F.lit(0)) / F.col("total")).otherwise(F.lit(1.0))
+    once = lambda c: (F.col(c) / F.col("repeats")).cast("long").alias(c)
+    return sums.select("id", "host", "th", "n", once("n_lines"), once("n_removed"), share.alias("kept_share"), (share >= min_kept).alias("keep"), "gone")
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, min_kept: float) -> DataFrame:
-    """(id, host, th, n, gone, keep): lines of the text (null for a null text), sorted numbers of those to remove."""
-    sums = _marked(docs, id_col, text_col, host_col, max_docs).groupBy("id", "host", "th").agg(
-        (F.max("pos") + 1).alias("n"), F.sort_array(F.collect_set(F.when(F.col("gone").isNotNull(), F.col("pos")))).alias("gone"), F.sum("size").alias("total"), _left().alias("left")
-    )
-    return sums.select("id", "host", "th", "n", "gone", (_share() >= min_kept).alias("keep"))
+def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
+    """(doc_id, host, n_lines, n_removed, kept_share, keep, line_bits) of each document.
 
-
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
-    """(doc_id, host, keep, line_bits) of each document: a character a line, 1 where the line stays and 0 where it is removed; null for a null text."""
+    line_bits has a character a line, 1 where the line stays and 0 where it is removed; null for a null text.
+    """
     decided = _decided(docs, id_col, text_col, host_col, max_docs, min_kept)
     # between two removed lines a run of 1s
     ends = F.concat("gone", F.array("n"))
     runs = F.transform(ends, lambda p, k: F.repeat(F.lit("1"), (p - F.when(k > 0, F.get(F.col("gone"), k - 1) + 1).otherwise(0)).cast("int")))
-    return decided.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), "keep", F.when(F.col("n").isNotNull(), F.array_join(runs, "0")).alias("line_bits"))
+    bits = F.when(F.col("n").isNotNull(), F.array_join(runs, "0"))
+    return decided.select(F.col("id").alias(id_col), F.col("host.host").alias("host"), "n_lines", "n_removed", "kept_share", "keep", bits.alias("line_bits"))
 
 
 def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = "n_chars", max_docs: int = MAX_DOCS, min_kept: float = MIN_KEPT) -> DataFrame:
@@ -96,11 +83,13 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     length_col, where present, becomes the new length. Repeated rows stay repeated.
     """
-    decided = _decided(docs, id_col, text_col, host_col, max_docs, min_kept).filter("keep").select(F.struct("id", "host", "th").alias("_key"), F.col("gone").alias("_gone"))
+    decided = _decided(docs, id_col, text_col, host_col, max_docs, min_kept).filter("keep").select(F.struct("id", "host", "th").alias("_key"), F.col("n").alias("_n"), F.col("gone").alias("_gone"))
     key = F.struct(F.col(id_col).alias("id"), F.struct(F.col(host_col).cast("string").alias("host")).alias("host"), text_key(F.col(text_col)).alias("th"))
     rows = docs.select(key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     text = F.col("_row").getField(text_col)
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, p: ~F.array_contains("_gone", p)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), F.col("_gone"))
+    # the lines are bound to a variable: a lambda would split the text again for each of them
+    left = F.get(F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n")), F.lit(0))
     joined = rows.join(decided.hint("shuffle_hash"), "_key").select("_row", F.when(F.size("_gone") == 0, text).otherwise(left).alias("_text"))
     new_length = lambda c: c == length_col and docs.schema[c].dataType.typeName() in ("long", "integer")
     return joined.select(*[
@@ -109,12 +98,7 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return depleted_documents(table(spark, sf_dir, "documents"))
-
-
-def op9_kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The decision for each line, which op9_quality_rules only counts (its columns are fixed by its SQL)."""
-    return kept_lines(table(spark, sf_dir, "documents"))
+    return line_decisions(table(spark, sf_dir, "documents"))
 
 
 def op9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,26 +106,31 @@ def op9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(table(spark, sf_dir, "documents"))
 
 
-SQL = rf"""
+_SQL = rf"""
 WITH lines AS (
-  SELECT doc_id, source AS host, unnest(string_split(text, chr(10))) AS raw FROM documents
-), normal AS (
-  SELECT doc_id, host, trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '[ \t\r\f\v]+', ' ', 'g'), ' ') AS line FROM lines
-), written AS (SELECT * FROM normal WHERE line <> ''
+  SELECT doc_id, host, raw, pos, nullif(trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '[ \t\r\f\v]+', ' ', 'g'), ' '), '') AS line
+  FROM (SELECT doc_id, source AS host, unnest(parts) AS raw, unnest(range(len(parts))) AS pos FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents))
 ), common AS (
-  SELECT host, line FROM written GROUP BY host, line HAVING count(DISTINCT doc_id) > {MAX_DOCS}
+  SELECT host, line FROM lines WHERE line IS NOT NULL GROUP BY host, line HAVING count(DISTINCT doc_id) > {MAX_DOCS}
+), marked AS (
+  SELECT l.doc_id, pos, raw, l.line, c.line IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON l.line = c.line AND l.host IS NOT DISTINCT FROM c.host
 ), sums AS (
-  SELECT w.doc_id, count(*) AS n_lines, count(c.line) AS n_removed, sum(length(w.line)) AS total,
-         sum(CASE WHEN c.line IS NULL THEN length(w.line) ELSE 0 END) AS left_over
-  FROM written w LEFT JOIN common c ON w.line = c.line AND w.host IS NOT DISTINCT FROM c.host
-  GROUP BY w.doc_id
+  SELECT doc_id, count(line) AS n_lines, count_if(gone) AS n_removed, string_agg(CASE WHEN gone THEN '0' ELSE '1' END, '' ORDER BY pos) AS line_bits,
+         coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text_left,
+         coalesce(sum(CASE WHEN NOT gone THEN length(line) END)::DOUBLE / nullif(sum(length(line)), 0)::DOUBLE, CASE WHEN count(line) > 0 THEN 0 ELSE 1 END) AS kept_share
+  FROM marked GROUP BY doc_id
 )
-SELECT d.doc_id, d.source AS host, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-       coalesce(CAST(left_over AS DOUBLE) / CAST(total AS DOUBLE), 1.0) AS kept_share,
-       coalesce(CAST(left_over AS DOUBLE) / CAST(total AS DOUBLE), 1.0) >= {MIN_KEPT} AS keep
+"""
+SQL = rf"""{_SQL}
+SELECT d.doc_id, d.source AS host, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(kept_share, 1.0)::DOUBLE AS kept_share, coalesce(kept_share, 1.0) >= {MIN_KEPT} AS keep, line_bits
 FROM documents d LEFT JOIN sums USING (doc_id)
 """
+CLEAN_SQL = rf"""{_SQL}
+SELECT d.doc_id, CASE WHEN n_removed > 0 THEN text_left ELSE text END AS text, lang, source,
+       length(CASE WHEN n_removed > 0 THEN text_left ELSE text END)::BIGINT AS n_chars
+FROM documents d LEFT JOIN sums USING (doc_id) WHERE coalesce(kept_share, 1.0) >= {MIN_KEPT}
+"""
 
-QUERIES = {"op9_quality_rules": op9_quality_rules, "op9_kept_lines": op9_kept_lines, "op9_clean_documents": op9_clean_documents}
-ORACLE = {"op9_quality_rules": SQL}
+QUERIES = {"op9_quality_rules": op9_quality_rules, "op9_clean_documents": op9_clean_documents}
+ORACLE = {"op9_quality_rules": SQL, "op9_clean_documents": CLEAN_SQL}

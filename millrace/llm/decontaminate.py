@@ -9,12 +9,13 @@ aligned, which loses nothing. A copy is found if three words in a row are left a
 
 Defined results
 ---------------
-* Words are runs of letters and digits, lower case. Items of under `min_words` words (or null) match
-  nothing: so few words prove nothing. Null and empty documents match nothing.
+* Words are runs of letters and digits, lower case. An item of under `min_words` words proves nothing when edited:
+  it is found only where all its words stand in a row, with the score 1. Items without words (null, empty)
+  match nothing, as do null and empty documents.
 * Each row is judged on its own: repeated rows give repeated results; other columns don't matter.
 * Per row and item the best passage counts, the first of equals. Items with the same id are
   separate rows of the benchmark and may both be reported.
-* An empty benchmark or corpus gives no rows.
+* An empty benchmark or corpus gives no rows. Long texts are read to their end.
 
 Scale: no document moves. What is sent to tasks is a slice of the benchmark of at most SLICE_WORDS
 words; a larger benchmark is worked off slice by slice.
@@ -42,12 +43,12 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seed_hashes(words: np.ndarray) -> np.ndarray:
-    """A hash for each run of SEED words; len(words) - SEED + 1 of them."""
+def seed_hashes(words: np.ndarray, size: int = SEED) -> np.ndarray:
+    """A hash for each run of `size` words; len(words) - size + 1 of them."""
     w = words.view(np.uint64)
-    n = max(0, len(w) - SEED + 1)
+    n = max(0, len(w) - size + 1)
     out = np.zeros(n, np.uint64)
-    for k in range(SEED):
+    for k in range(size):
         out = (out ^ w[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
     return out
@@ -95,10 +96,17 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
 class Slice:
     """A slice of the benchmark as tasks use it: words of the items, and at which places of items a seed occurs."""
 
-    def __init__(self, items: list[np.ndarray]):
+    def __init__(self, items: list[np.ndarray], min_words: int = MIN_WORDS):
         self.items, self.sets = items, [np.unique(x) for x in items]
         self.sizes = np.array([len(x) for x in items], np.int64)
-        hashes = [seed_hashes(x) for x in items]
+        short = self.sizes < max(min_words, SEED)
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of short items, by size: sorted hashes, items
+        for n in np.unique(self.sizes[short]).tolist():
+            own = np.flatnonzero(short & (self.sizes == n))
+            whole = np.array([seed_hashes(items[i], n)[0] for i in own], np.uint64)
+            order = np.argsort(whole, kind="stable")
+            self.short[n] = whole[order], own[order]
+        hashes = [seed_hashes(x) if not s else np.zeros(0, np.uint64) for x, s in zip(items, short)]
         every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.seeds = Seeds(every)
         # the places of seed s are at first[s] to first[s + 1]
@@ -124,6 +132,19 @@ class Slice:
         slack = n // 2 + 4
         yield from zip(*(x.tolist() for x in (d, i, np.maximum(0, diagonal[low] - slack), np.minimum(offsets[d + 1] - offsets[d], diagonal[high] + n + slack))))
 
+    def whole(self, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, item, from) of the first place of each short item in each document."""
+        for n, (known, own) in self.short.items():
+            h = seed_hashes(words, n)
+            first, last = np.searchsorted(known, h), np.searchsorted(known, h, "right")
+            found: set[tuple[int, int]] = set()
+            for at in np.flatnonzero(last > first).tolist():
+                d = int(np.searchsorted(offsets, at, "right")) - 1
+                for i in own[first[at] : last[at]].tolist() if at + n <= offsets[d + 1] else ():
+                    if (d, i) not in found and (words[at : at + n] == self.items[i]).all():
+                        found.add((d, i))
+                        yield d, i, at - int(offsets[d])
+
     def match(self, words: np.ndarray, offsets: np.ndarray, min_score: float) -> list[tuple[int, int, float, int, int]]:
         """(document, item, score, passage from, to) of each document that holds an item."""
         todo = []
@@ -133,7 +154,7 @@ class Slice:
             if np.count_nonzero(own[np.minimum(np.searchsorted(own, passage), len(own) - 1)] == passage) >= min_score * n:
                 todo.append((n, d, i, a, b))
         todo.sort(key=lambda x: (x[4] - x[3], x[0]))
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        best: dict[tuple[int, int], tuple[float, int, int]] = {(d, i): (1.0, a, a + len(self.items[i])) for d, i, a in self.whole(words, offsets)}
         at = 0
         while at < len(todo):
             to = at + 1
@@ -156,20 +177,17 @@ def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(benchmark: DataFrame, item_col: str, text_col: str, min_words: int) -> Iterator[tuple[list, Slice]]:
     """(item ids, slice)"""
-    rows = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(text_col)).alias("words")).filter(F.size("words") >= max(min_words, SEED))
-
-    def sliced(items: list) -> tuple[list, Slice]:
-        return [x.item for x in items], Slice([np.array(x.words, np.int64) for x in items])
-
-    held, size = [], 0
-    for row in rows.toLocalIterator():
-        held.append(row)
+    rows = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(text_col)).alias("words")).filter(F.size("words") > 0)
+    names, held, size = [], [], 0
+    for row in rows.toLocalIterator():  # at most SLICE_WORDS words and an item are held at a time
+        names.append(row.item)
+        held.append(np.array(row.words, np.int64))
         size += len(row.words)
         if size >= SLICE_WORDS:
-            yield sliced(held)
-            held, size = [], 0
+            yield names, Slice(held, min_words)
+            names, held, size = [], [], 0
     if held:
-        yield sliced(held)
+        yield names, Slice(held, min_words)
 
 
 def benchmark_matches(
@@ -192,7 +210,6 @@ def benchmark_matches(
                 ids = batch.column("id").take(pa.array(d, pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([names[x] for x in i], batch_type), pa.array(score, pa.float64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=schema.names)
 
-
         out = out.unionByName(own.select("id", word_hashes(F.col("text")).alias("words")).mapInArrow(run, schema))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "passage_from", "passage_to")
 
@@ -215,7 +232,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     kept = docs
     for _, part in slices(benchmark, item_col, item_text_col, min_words):
         sent = docs.sparkSession.sparkContext.broadcast(part)
-
         kept = kept.filter(~_holds(sent, min_score)(word_hashes(F.col(text_col))))
     return kept
 

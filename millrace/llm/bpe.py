@@ -39,8 +39,8 @@ RANKS, TABLE_BYTES = "byte_bpe_50k.tiktoken", 24 << 20
 
 def encode_words(words: pa.Array, path: str) -> pa.ListArray:
     """The ids of each word, by byte-pair merges."""
-    one = encoding(path)._encode_single_piece
-    ids = [one(w) if w else [] for w in words.to_pylist()]
+    one = encoding(path).encode_ordinary
+    ids = [one(w) for w in words.to_pylist()]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array([i for x in ids for i in x], pa.int32()))
 

@@ -152,6 +152,15 @@ def test_equal_thresholds():
 # token counts
 
 
+def random_edits(rng, letters, text, n):
+    out = []
+    for _ in range(n):
+        out.append((rng.randint(-2, len(text) + 2), rng.choice([0, 1, 5, 400]), "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 6, 200, 3000])))))
+        start = min(max(out[-1][0], 0), len(text))
+        text = text[:start] + out[-1][2] + text[start + out[-1][1] :]
+    return out, text
+
+
 def test_token_edits():
     rng = random.Random(7)
     letters, touched, total = "ab c\n  '\tsdlreve12!?é😀x ", 0, 0
@@ -159,12 +168,58 @@ def test_token_edits():
         text = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 40, 300, 3000])))
         tree = token_counts.build(text, PATH)
         for _ in range(4):
-            edit = (rng.randint(-2, len(text) + 2), rng.choice([0, 1, 5, 400]), "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 6, 200]))))
-            tree, text, n = token_counts.edit(tree, text, *edit, PATH)
-            touched, total = touched + n, total + len(text)
+            (edit,), text = random_edits(rng, letters, text, 1)
+            touched, total = touched + tree.edit(*edit, PATH), total + len(text)
             whole = token_counts.build(text, PATH)
-            assert (tree.tokens, tree.chars) == (whole.tokens, len(text))
-    assert touched < 0.5 * total
+            assert (tree.tokens, tree.chars, tree.text) == (whole.tokens, len(text), text)
+            assert [token_counts.build(p, PATH).chars for p in tree.pieces] == tree.leaf_sums()[0]
+    assert touched < 0.6 * total
+
+
+@pytest.mark.parametrize("size", [10, 400, 3000])
+def test_large_insertions_encode_their_region_only(size):
+    rng = random.Random(size)
+    text, new = words(rng, 20_000), words(rng, size)
+    tree = token_counts.build(text, PATH)
+    assert tree.edit(len(text) // 2, 0, new, PATH) < len(new) + 3 * 10 * token_counts.LEAF
+    assert tree.tokens == token_counts.build(tree.text, PATH).tokens and max(map(len, tree.pieces)) < 40 * token_counts.LEAF
+
+
+def test_kept_trees(spark, odd, none):
+    rng = random.Random(12)
+    letters = "ab c\n  'sdlreve12!?é😀x "
+    rows = [(i, "".join(rng.choice(letters) for _ in range(rng.choice([0, 30, 2000])))) for i in range(40)] + [(99, None)]
+    trees = token_counts.token_trees(spark.createDataFrame(rows, "doc_id long, text string"))
+    kind, texts = "doc_id long, edits array<struct<start:int,removed:int,inserted:string>>", dict(rows)
+    for _ in range(3):
+        made = {}
+        for i, text in texts.items():
+            made[i], texts[i] = random_edits(rng, letters, text, 2) if text is not None else ([(0, 1, "x")], None)
+        trees = token_counts.apply_edits(trees.join(spark.createDataFrame(list(made.items()), kind), "doc_id"), F.col("edits"))
+        got = trees.collect()
+        for r in got:
+            whole = token_counts.build(texts[r.doc_id] or "", PATH)
+            assert (r.text, r.n_tokens_after, r.n_chars_after) == (texts[r.doc_id], whole.tokens, whole.chars)
+            assert r.text is None or (sum(r.leaf_chars), sum(r.leaf_tokens)) == (whole.chars, whole.tokens)
+        trees = spark.createDataFrame([(r.doc_id, r.text, r.leaf_chars, r.leaf_tokens) for r in got], "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>")
+    assert token_counts.token_trees(odd).count() == odd.count() and token_counts.token_trees(none).count() == 0
+
+
+def test_token_query_against_plain_python(spark):
+    from millrace.llm.pretokens import encoding
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one, split = encoding(PATH), token_counts._WORDS.findall
+    count = lambda text: sum(len(one.encode_ordinary(w)) for w in split(text))
+    want = {}
+    for r in docs.collect():
+        text, after, n = r.text or "", r.text or "", len(r.text or "")
+        for start, removed, inserted in ((n // 3, 12, f"( {r.lang} {r.source} )"), (2 * (n // 3), 0, f" {r.source}"), (0, 7, "")) if r.text is not None else ():
+            start = min(start, len(after))
+            after = after[:start] + inserted + after[start + removed :]
+        want[r.doc_id] = (count(text), count(after), len(after))
+    got = {r.doc_id: (r.n_tokens, r.n_tokens_after, r.n_chars_after) for r in QUERIES["op3_token_counts"](spark, SF).collect()}
+    assert got == want
 
 
 def test_token_counts(spark, odd, none):
@@ -174,7 +229,7 @@ def test_token_counts(spark, odd, none):
     edits = spark.createDataFrame([(1, 2, 0, 1, "Z "), (1, 1, 3, 9, None), (10, 1, None, None, "new"), (77, 1, 0, 1, "")], "doc_id long, seq int, start int, removed int, inserted string")
     got = sorted(((r.doc_id, r.n_tokens, r.n_tokens_after, r.n_chars_after) for r in token_counts.counts_after(odd, edits).collect()), key=str)
     split = token_counts._WORDS.findall
-    count = lambda text: sum(len(one._encode_single_piece(w)) for w in split(text))
+    count = lambda text: sum(len(one.encode_ordinary(w)) for w in split(text))
     want = []
     for r in odd.collect():
         text = r.text or ""

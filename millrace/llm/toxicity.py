@@ -52,7 +52,7 @@ ORDINARY_BYTES, TOXIC_BYTES, ALARM_BYTES = 65_536, 65_536, 131_072
 #: The share of chance among the windows that a round may keep.
 ROUNDS = (0.6, 0.4, 0.2, 0.1, 0.05)
 PARTS, DROPS, RESTS = 4, range(2, 11), range(1, 4)  # the last part is held out for the calibration
-_GAP, _ANCHOR = b"  ", bytes(range(128, 160))
+_GAP, _ANCHOR = b"  ", bytes(range(128, 140))
 _WIDE, _WORD = re.compile(rb"\S[^\n]{0,16}\S{0,64}"), re.compile(rb"\S{1,80}")
 _SLICE, _BLOCK = 20_000, 200_000
 
@@ -74,7 +74,7 @@ def in_context(text: str) -> list[bytes]:
 
 def _parameters() -> zstandard.ZstdCompressionParameters:
     return zstandard.ZstdCompressionParameters(
-        window_log=18, chain_log=19, hash_log=17, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTOPT,
+        window_log=18, chain_log=19, hash_log=17, search_log=5, min_match=3, target_length=32, strategy=zstandard.STRATEGY_BTLAZY2,
         write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
 

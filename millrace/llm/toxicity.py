@@ -54,7 +54,7 @@ ROUNDS = (0.6, 0.4, 0.2, 0.1, 0.05)
 PARTS, DROPS, RESTS = 4, range(2, 11), range(1, 4)  # the last part is held out for the calibration
 _GAP, _ANCHOR = b"  ", bytes(range(128, 140))
 _WIDE, _WORD = re.compile(rb"\S[^\n]{0,16}\S{0,64}"), re.compile(rb"\S{1,80}")
-_SLICE, _BLOCK = 20_000, 200_000
+_SLICE, _BLOCK, _KNOWN = 20_000, 200_000, 250_000
 
 
 def windows(text: str) -> list[bytes]:
@@ -89,14 +89,14 @@ def framed(window: bytes) -> bytes:
     return _ANCHOR + _GAP + window + _GAP
 
 
-def lengths(with_: zstandard.ZstdCompressor, found: list[bytes]) -> np.ndarray:
+def lengths(with_: zstandard.ZstdCompressor, found: list[bytes], threads: int = 1) -> np.ndarray:
     """The compressed length of each window."""
     out = np.empty(len(found), np.int64)
     for at in range(0, len(found), _SLICE):
         part = [framed(w) for w in found[at : at + _SLICE]]
         sizes = np.array([len(w) for w in part], "<u8")
         places = np.stack([np.cumsum(sizes) - sizes, sizes], 1)
-        packed = with_.multi_compress_to_buffer(zstandard.BufferWithSegments(b"".join(part), places.tobytes()), threads=1)
+        packed = with_.multi_compress_to_buffer(zstandard.BufferWithSegments(b"".join(part), places.tobytes()), threads=threads)
         out[at : at + len(part)] = [len(x) for x in packed]
     return out
 
@@ -119,15 +119,23 @@ def judged(found: list[bytes], pair: tuple) -> tuple[np.ndarray, np.ndarray]:
     return lengths(pair[0], found) - after, after - lengths(pair[1], [b""])[0]
 
 
-def judged_texts(texts: list[str | None], pair: tuple | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(drop, rest) of the windows of each text; some texts at a time, each distinct window of them once."""
+def judged_texts(texts: list[str | None], pair: tuple | None, known: dict[bytes, tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(drop, rest) of the windows of each text; some texts at a time. known keeps those of windows met before and is emptied when full."""
     held: list[bytes] = []
     ends: list[int] = []
 
     def block() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         coded = pa.array(held, pa.binary()).dictionary_encode()
-        at = coded.indices.to_numpy()
-        found = judged(coded.dictionary.to_pylist(), pair) if pair and held else np.zeros((2, len(coded.dictionary)), np.int64)
+        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        if pair:
+            if len(known) > _KNOWN:
+                known.clear()
+            new = [w for w in distinct if w not in known]
+            if new:
+                known.update(zip(new, zip(*(x.tolist() for x in judged(new, pair)))))
+            found = np.array([known[w] for w in distinct], np.int64).reshape(-1, 2).T
+        else:
+            found = np.zeros((2, len(distinct)), np.int64)
         yield from zip(*(np.split(x[at], ends[:-1]) for x in found))
         held.clear(), ends.clear()
 
@@ -183,7 +191,7 @@ def fit(s: Sample) -> ToxicityModel:
     ordinary, chosen, toxic = base, None, b""
     for number, share in enumerate(ROUNDS):
         plain = compressor(ordinary)
-        before, usual_before = lengths(plain, s.windows), lengths(plain, usual)
+        before, usual_before = lengths(plain, s.windows, 4), lengths(plain, usual, 4)
         drop, rest = np.zeros((2, len(s.windows)), np.int64)
         seen: list[tuple[np.ndarray, np.ndarray]] = []
         for fold in folds:
@@ -193,7 +201,7 @@ def fit(s: Sample) -> ToxicityModel:
                 others = [s.windows[i] for i in np.flatnonzero(chosen & (s.part != fold))]
             known = compressor(ordinary + trained(others, TOXIC_BYTES))
             empty, own = lengths(known, [b""])[0], np.flatnonzero(s.part == fold)
-            after, usual_after = lengths(known, [s.windows[i] for i in own]), lengths(known, usual)
+            after, usual_after = lengths(known, [s.windows[i] for i in own], 4), lengths(known, usual, 4)
             drop[own], rest[own] = before[own] - after, after - empty
             seen.append((usual_before - usual_after, usual_after - empty))
         chosen = _kept(drop, rest, *map(np.concatenate, zip(*seen)), share)
@@ -201,7 +209,7 @@ def fit(s: Sample) -> ToxicityModel:
             return none
         toxic = trained([s.windows[i] for i in np.flatnonzero(chosen)], TOXIC_BYTES)
         if number:
-            alarms = lengths(plain, s.ordinary) - lengths(compressor(ordinary + toxic), s.ordinary) >= 2
+            alarms = lengths(plain, s.ordinary, 4) - lengths(compressor(ordinary + toxic), s.ordinary, 4) >= 2
             found = [s.ordinary[i] for i in np.flatnonzero(alarms)]
             ordinary = base + (_GAP.join(found) + _GAP)[:ALARM_BYTES]
     return ToxicityModel(ordinary, toxic)
@@ -241,9 +249,9 @@ def _counts(model: ToxicityModel, rows: DataFrame) -> tuple[np.ndarray, np.ndarr
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = sent.value.compressors()
+        pair, known = sent.value.compressors(), {}
         for batch in batches:
-            found = [[int(((d >= least) & (r <= most)).sum()) for least in DROPS for most in RESTS] for d, r in judged_texts(batch.column("text").to_pylist(), pair)]
+            found = [[int(((d >= least) & (r <= most)).sum()) for least in DROPS for most in RESTS] for d, r in judged_texts(batch.column("text").to_pylist(), pair, known)]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.int64()))], names=["y", "n"])
 
     got = rows.select("y", "text").mapInArrow(run, "y int, n array<long>").toArrow()
@@ -275,9 +283,9 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        pair = model.compressors()
+        pair, known = model.compressors(), {}
         for batch in batches:
-            found = list(judged_texts(batch.column("text").to_pylist(), pair))
+            found = list(judged_texts(batch.column("text").to_pylist(), pair, known))
             size = [len(d) for d, _ in found]
             n = np.array([((d >= model.drop) & (r <= model.rest)).sum() for d, r in found], np.int64)
             most = [int(d[r <= model.rest].max(initial=0)) for d, r in found]

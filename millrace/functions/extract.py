@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,31 @@ def _literal(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
+def _ascii_lower(text: Column) -> Column:
+    """Lower case as patterns have it that ignore case."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def trim_tail(reasoning: Column, answer: Column) -> Column:
-    """reasoning without a closing repetition of the answer, with or without its conjunction."""
-    out = reasoning
-    for head, foot in ((r"(?isd)(Thus|Therefore|Hence|So).{0,30}", r"\.?"), ("(?isd)", "")):
-        out = t.strip(F.regexp_replace(out, F.concat(F.lit(head), _literal(answer), F.lit(rf"{foot}{t.SPACE}*\z")), F.lit("")))
-    return F.when((reasoning != "") & (answer != ""), out).otherwise(reasoning)
+    """reasoning without a closing repetition of the answer, with or without its conjunction.
+
+    A pattern made from the answer is compiled for each row, so it runs only where the text ends in the answer, and only over the part it can reach.
+    """
+
+    def cut(text: Column, answer: Column, head: str, dot: str, reach: int) -> Column:
+        low, end = _ascii_lower(text), _ascii_lower(answer)
+        ends = F.endswith(low, end) | F.endswith(low, F.concat(end, F.lit(".")))
+        size = F.greatest(F.length(text) - F.length(answer) - reach, F.lit(0))
+        pattern = F.concat(F.lit(head), _literal(answer), F.lit(rf"{dot}\z"))
+        shorter = F.concat(F.substr(text, F.lit(1), size), F.regexp_replace(F.substr(text, size + 1), pattern, F.lit("")))
+        return F.when(ends, t.strip(shorter)).otherwise(text)
+
+    def both(pair: Column) -> Column:
+        once = cut(pair["r"], pair["a"], r"(?isd)(Thus|Therefore|Hence|So).{0,30}", r"\.?", 42)
+        return t.let(once, lambda r: cut(r, pair["a"], "(?isd)", "", 1))
+
+    trimmed = t.let(F.struct(t.strip(reasoning).alias("r"), answer.alias("a")), both)
+    return F.when((reasoning != "") & (answer != ""), trimmed).otherwise(reasoning)
 
 
 def assistant(reasoning: Column, answer: Column) -> Column:
@@ -54,23 +75,30 @@ def route_hint(domain: Column, verifiable: Column) -> Column:
     return F.when(domain.isin("math", "code") & verifiable, "router->solver->tool->critic->refiner").when(domain.contains("qa"), "router->solver->critic->refiner").otherwise("router->solver->refiner")
 
 
-def unified(df: DataFrame, prompt: Column, solution: Column, reasoning: Column, source: str, domain: str, verifiable: bool, difficulty: Column | None = None, include_assistant: bool = False) -> DataFrame:
-    """The unified record of rows whose prompt and solution are filled."""
-    rows = df.select(prompt.alias("prompt"), solution.alias("solution"), reasoning.alias("reasoning"), (t.safe(difficulty) if difficulty is not None else F.lit("")).alias("difficulty")).filter("prompt <> '' AND solution <> ''")
+def unified(df: DataFrame, prompt: Column, solution: Column, reasoning: Column, source: str, domain: str, verifiable: bool, difficulty: Column | None = None, include_assistant: bool = False, keep_rejects: bool = False) -> DataFrame:
+    """The unified record of rows whose prompt and solution are filled; with keep_rejects, a blank record for each other row."""
+    rows = df.select(prompt.alias("prompt"), solution.alias("solution"), reasoning.alias("reasoning"), (t.safe(difficulty) if difficulty is not None else F.lit("")).alias("difficulty"))
+    filled = (F.col("prompt") != "") & (F.col("solution") != "")
+    rows = rows if keep_rejects else rows.filter(filled)
     rows = rows.withColumn("assistant", assistant(F.col("reasoning"), F.col("solution")))
     out = rows.select(
         build_id(F.lit(source), F.col("prompt"), F.col("solution")).alias("id"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), F.lit("en").alias("language"), F.lit(verifiable).alias("verifiable"),
         "difficulty", "prompt", "solution", messages(F.col("prompt"), F.col("assistant")).alias("messages"), route_hint(F.lit(domain), F.lit(verifiable)).alias("carl_moa_route_hint"),
         F.lit(verifiable or domain == "code").alias("carl_moa_needs_tools"), "assistant",
     )
+    if keep_rejects:
+        empty = {"boolean": F.lit(False), "array": F.array().cast(out.schema["messages"].dataType)}
+        good = F.col("prompt").isNotNull() & (F.col("prompt") != "") & (F.col("solution") != "")
+        out = out.select(*[F.when(good, F.col(f.name)).otherwise(empty.get(f.dataType.typeName(), F.lit(""))).alias(f.name) for f in out.schema])
     return out if include_assistant else out.drop("assistant")
 
 
 def numina(df: DataFrame, source: str, domain: str = "math", verifiable: bool = True, **k: bool) -> DataFrame:
     prompt = t.safe(column(df, "problem", "question", "prompt"))
     solution, cot = t.safe(column(df, "solution", "answer", "final_answer")), t.safe(column(df, "cot", "cot_content", "reasoning", "explanation"))
-    rows = df.select(prompt.alias("p"), solution.alias("s"), F.when(cot != "", cot).otherwise(solution).alias("r"), column(df, "difficulty").alias("d")).filter("p <> '' AND s <> ''")
-    rows = rows.withColumn("a", t.first_filled(final_answer(F.col("s")), final_answer(F.col("r")), F.col("s")))
+    rows = df.select(prompt.alias("p"), solution.alias("s"), F.when(cot != "", cot).otherwise(solution).alias("r"), column(df, "difficulty").alias("d"))
+    found = t.first_filled(final_answer(F.col("s")), final_answer(F.col("r")), F.col("s"))
+    rows = rows.withColumn("a", F.when((F.col("p") != "") & (F.col("s") != ""), found).otherwise(""))
     rows = rows.withColumn("r", t.first_filled(trim_tail(F.col("r"), F.col("a")), F.col("s")))
     return unified(rows, F.col("p"), F.col("a"), F.col("r"), source, domain, verifiable, F.col("d"), **k)
 
@@ -156,12 +184,20 @@ def openbook(df: DataFrame, source: str, domain: str = "science_qa", verifiable:
         pairs = F.coalesce(F.filter(F.transform(zipped, lambda c: F.struct(t.safe(c["label"]).alias("label"), t.safe(c["text"]).alias("text"))), lambda c: (c["label"] != "") & (c["text"] != "")), pairs)
     answer = F.coalesce(t.first_filled(t.safe(column(df, "answerKey")), t.safe(column(df, "answer"))), F.lit(""))
     fact = t.safe(column(df, "fact1", "fact"))
-    rows = df.select(stem.alias("q"), pairs.alias("pairs"), answer.alias("a"), fact.alias("f")).filter("q <> '' AND a <> ''")
+    rows = df.select(stem.alias("q"), pairs.alias("pairs"), F.when(stem != "", answer).otherwise("").alias("a"), fact.alias("f"))
     solution = F.coalesce(t.last(F.filter("pairs", lambda c: c["label"] == F.col("a")))["text"], F.col("a"))
     options = F.array_join(F.transform("pairs", lambda c: F.concat(c["label"], F.lit(". "), c["text"])), "\n")
-    prompt = F.when(options == "", F.col("q")).otherwise(F.concat("q", F.lit("\n\nOptions:\n"), options))
+    solution = F.when(F.col("a") != "", solution).otherwise("")
+    prompt = F.when((options == "") | (F.col("q") == ""), F.col("q")).otherwise(F.concat("q", F.lit("\n\nOptions:\n"), options))
     reasoning = F.when(F.col("f") != "", F.concat(F.lit("I use the given science fact and option elimination.\nFact: "), "f")).otherwise("I use science facts and option elimination to choose the best answer.")
     return unified(rows, prompt, solution, reasoning, source, domain, verifiable, **k)
 
 
 EXTRACTORS = {"numina": numina, "codeforces": codeforces, "hotpotqa": hotpot, "openbookqa": openbook}
+
+
+def map_record(df: DataFrame, kind: str, source: str, **k: bool) -> DataFrame:
+    """Unified records of a table of that kind, a blank one (with an empty id) for each row that gives none."""
+    if kind not in EXTRACTORS:
+        raise ValueError(f"no extractor for {kind}; there are {sorted(EXTRACTORS)}")
+    return EXTRACTORS[kind](df, source, keep_rejects=True, **k)

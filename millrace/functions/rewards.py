@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from fractions import Fraction
+from dataclasses import dataclass, field
 from functools import partial
 
 import pandas as pd
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from millrace.functions import text as t
+from millrace.functions.answers import equal, final_answer
+from millrace.streaming import providers
 
 FORMAT = r"(?smd)\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>$"
 STRICT = rf"(?smd)\A<think>{t.SPACE}*\n.*?\n{t.SPACE}*</think>{t.SPACE}*\n<answer>{t.SPACE}*\n(.*?)\n{t.SPACE}*</answer>{t.SPACE}*$"
@@ -96,8 +98,7 @@ def extract_code(text: Column, language: str | None = "python") -> Column:
 def output_matches(actual: Column, expected: Column) -> Column:
     """Stripped lines agree as far as both go: surplus lines of either are ignored."""
     a, b = (F.split(t.strip(x), "\n") for x in (actual, expected))
-    n = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: t.strip(x) == t.strip(y))
+    same = F.zip_with(a, b, lambda x, y: x.isNull() | y.isNull() | (t.strip(x) == t.strip(y)))
     return F.forall(same, lambda x: x)
 
 
@@ -113,36 +114,6 @@ def combine(rewards: dict[str, Column], weights: dict[str, float]) -> Column:
     return total
 
 
-def _value(answer: str) -> Fraction | str | None:
-    """A number, or the answer in a normal form."""
-    import re
-
-    text = re.sub(r"\\(?:left|right|,|;|!|quad|text|mathrm)\b|\\[,;! ]|[$\s]", "", answer).rstrip(".")
-    text = re.sub(r"\\[dt]frac", r"\\frac", text)
-    text = re.sub(r"\\frac\{([^{}]+)\}\{([^{}]+)\}", r"(\1)/(\2)", text)
-    plain = text.replace("(", "").replace(")", "").replace(",", "").replace("{", "").replace("}", "")
-    try:
-        return Fraction(plain) if plain.count("/") <= 1 else text
-    except (ValueError, ZeroDivisionError):
-        percent = re.fullmatch(r"(-?\d+(?:\.\d+)?)\\?%", plain)
-        return Fraction(percent.group(1)) / 100 if percent else text or None
-
-
-def final_answer(text: str) -> str | None:
-    """The last boxed expression, with nested braces; else the last formula between dollars; else null."""
-    import re
-
-    at = text.rfind("\\boxed{")
-    if at >= 0:
-        depth = 0
-        for i in range(at + 6, len(text)):
-            depth += (text[i] == "{") - (text[i] == "}")
-            if depth == 0:
-                return text[at + 7 : i]
-    found = re.findall(r"\$([^$]+)\$|\\\((.+?)\\\)|\\\[(.+?)\\\]", text, re.DOTALL)
-    return next((x for x in found[-1] if x), None) if found else None
-
-
 @F.pandas_udf(DoubleType())
 def accuracy(text: pd.Series, gold: pd.Series) -> pd.Series:
     """1 or 0 as the answer equals the gold one; null when the gold one holds no formula."""
@@ -152,13 +123,85 @@ def accuracy(text: pd.Series, gold: pd.Series) -> pd.Series:
         if wanted is None:
             return None
         found = final_answer(said) if said else None
-        return float(found is not None and _value(found) == _value(wanted))
+        return float(found is not None and equal(found, wanted))
 
     return pd.Series([one(a, b) for a, b in zip(text, gold)], dtype="Float64")
 
 
-#: Rewards of the text alone or with parameters, by name.
+def passed_share(outputs: Column, expected: Column) -> Column:
+    """Share of the tests whose output matches; an output of null failed. Null for no tests, or where nothing was run."""
+    fits = lambda got, want: F.coalesce(output_matches(got, want), F.lit(False))
+    right = F.size(F.filter(F.zip_with(outputs, expected, fits), lambda ok: ok))
+    return F.when(outputs.isNotNull(), F.try_divide(right.cast("double"), F.size(expected).cast("double")))
+
+
+def code(text: Column, tests: Column, language: str = "python", provider: str = "literal") -> Column:
+    """Share of the tests, array<struct<input, output>>, that the text's code passes; null where the provider failed or there are no tests."""
+    outputs = providers.run(extract_code(text, language), F.transform(tests, lambda x: x["input"]), F.lit(language), provider)
+    return passed_share(outputs, F.transform(tests, lambda x: x["output"]))
+
+
+def cf_code(code: Column, results: Column, mode: str = "weighted_sum", no_compile: float = -0.1, no_submission: float = -1.0) -> Column:
+    """Score of a submission from its results, array<struct<compiled, code, output>>, one for each of its problem's tests.
+
+    No tests: null. No code: no_submission. Anything that didn't compile: no_compile. A test is passed where the
+    program ended well and the checker printed 1; a missing result (the runner failed) isn't.
+    """
+    scores = {"pass_fail": lambda whole, share: whole, "partial": lambda whole, share: share, "weighted_sum": lambda whole, share: whole + share * 0.1}
+    if mode not in scores:
+        raise ValueError(f"Invalid scoring mode: {mode}")
+    well = lambda r: F.coalesce((r["code"] == 0) & (t.strip(r["output"]) == "1"), F.lit(False))
+    share = F.size(F.filter(results, well)).cast("double") / F.size(results).cast("double")
+    score = scores[mode](F.when(share == 1.0, 1.0).otherwise(0.0), share)
+    broken = F.exists(results, lambda r: F.coalesce(~r["compiled"], F.lit(False)))
+    none = F.coalesce(F.size(results), F.lit(0)) <= 0
+    return F.when(none, F.lit(None).cast("double")).when(F.coalesce(code, F.lit("")) == "", no_submission).when(broken, no_compile).otherwise(score)
+
+
+def ioi_code(code: Column, scores: Column, precision: int = 2) -> Column:
+    """Score of a sub-task from the scores of its tests, the worst counts; 0 without code or tests, and where the runner failed."""
+    ran = (F.coalesce(code, F.lit("")) != "") & (F.size(scores) > 0) & ~F.exists(scores, lambda x: x.isNull())
+    return F.when(ran, F.bround(F.array_min(scores), precision)).otherwise(0.0)
+
+
+#: Rewards by name, in the order in which they are documented.
 REGISTRY: dict[str, Callable[..., Column]] = {
-    "accuracy": accuracy, "format": format_reward, "reasoning_steps": reasoning_steps, "cosine": cosine, "repetition_penalty": partial(repetition_penalty, n=3, max_penalty=-1.0),
-    "length": length, "code": output_matches, "binary_code": binary_code, "code_format": code_format, "tag_count": tag_count, "soft_overlong_punishment": soft_overlong, "gspo_default": gspo_default,
+    "gspo_default": gspo_default, "accuracy": accuracy, "format": format_reward, "reasoning_steps": reasoning_steps, "cosine": cosine, "repetition_penalty": repetition_penalty,
+    "length": length, "code": code, "binary_code": lambda *a, **k: binary_code(code(*a, **k)), "ioi_code": ioi_code, "cf_code": cf_code, "code_format": code_format,
+    "tag_count": tag_count, "soft_overlong_punishment": soft_overlong,
 }
+
+
+@dataclass
+class RewardConfig:
+    """Parameters of the rewards that get_reward_funcs binds."""
+
+    cosine_min_value_wrong: float = -1.0
+    cosine_max_value_wrong: float = -0.5
+    cosine_min_value_correct: float = 0.5
+    cosine_max_value_correct: float = 1.0
+    cosine_max_len: int = 1000
+    repetition_n_grams: int = 3
+    repetition_max_penalty: float = -1.0
+    code_language: str = "python"
+    code_provider: str = "literal"
+    code_eval_scoring_mode: str = "weighted_sum"
+    max_completion_len: int = 16384
+    soft_punish_cache: int = 4096
+    parameters: dict[str, dict[str, object]] = field(default_factory=dict)
+
+    def of(self, name: str) -> dict[str, object]:
+        """Keyword arguments of a reward; `parameters` goes before the fields."""
+        provided = {"language": self.code_language, "provider": self.code_provider}
+        own = {
+            "cosine": {"min_wrong": self.cosine_min_value_wrong, "max_wrong": self.cosine_max_value_wrong, "min_right": self.cosine_min_value_correct, "max_right": self.cosine_max_value_correct, "max_len": self.cosine_max_len},
+            "repetition_penalty": {"n": self.repetition_n_grams, "max_penalty": self.repetition_max_penalty}, "code": provided, "binary_code": provided,
+            "cf_code": {"mode": self.code_eval_scoring_mode}, "soft_overlong_punishment": {"max_len": self.max_completion_len, "cache": self.soft_punish_cache},
+        }
+        return own.get(name, {}) | self.parameters.get(name, {})
+
+
+def get_reward_funcs(names: list[str], config: RewardConfig | None = None) -> dict[str, Callable[..., Column]]:
+    """The named rewards in that order, with their parameters bound; an unknown name is a KeyError."""
+    config = config or RewardConfig()
+    return {name: partial(REGISTRY[name], **config.of(name)) if config.of(name) else REGISTRY[name] for name in names}

@@ -28,7 +28,7 @@ def split(text: Column) -> Column:
 
 def first_filled(*values: Column) -> Column:
     """The first value that is neither null nor empty (white space counts as filled)."""
-    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
+    return F.coalesce(*[let(v, lambda x: F.when(x != "", x)) for v in values])
 
 
 def normal(text: Column) -> Column:
@@ -75,3 +75,13 @@ def last(values: Column) -> Column:
 def tail_lines(text: Column) -> Column:
     """Stripped lines that are not blank."""
     return F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), strip), lambda x: x != "")
+
+
+def encoded(text: Column) -> Column:
+    """Base64 of the text's UTF-8 bytes, without line breaks."""
+    return F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
+
+
+def last_part(path: Column) -> Column:
+    """What follows the last slash of a name such as owner/model."""
+    return F.element_at(F.split(path, "/"), -1)

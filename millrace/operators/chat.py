@@ -32,6 +32,20 @@ def with_options(question: Column, options: Column) -> Column:
     return F.when(own != "", F.concat(t.safe(question), F.lit("\n\nOptions:\n"), own)).otherwise(t.safe(question))
 
 
+def from_template(template: str, **values: Column) -> Column:
+    """template with {name} replaced by the text of each value; null counts as empty. Other braces stay."""
+    out = F.lit(template)
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
+    return out
+
+
+def choice_prompt(question: Column, options: Column, answer: Column, instructions: str) -> Column:
+    """What asks a model to explain the answer to a question with options."""
+    labelled = [F.concat(F.lit(f"{label}: "), F.coalesce(value.cast("string"), F.lit(""))) for label, value in (("Question", question), ("Options", options), ("Correct answer", answer))]
+    return F.concat_ws("\n", F.lit(instructions), *labelled, F.lit("Write the output in the exact format (one paragraph):"))
+
+
 def from_cot(df: DataFrame) -> DataFrame:
     """messages of rows with a question (or prompt), options and a chain of thought."""
     asked = next((c for c in ("question", "prompt") if c in df.columns), None)

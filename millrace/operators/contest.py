@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.mixture import replicate
+
 STATUS = {"CE": -1, "RE": 0, "WA": 1, "MLE": 2, "TLE": 3, "PA": 4, "AC": 5, "SKIPPED": 999}
 
 
@@ -57,9 +60,9 @@ def subtask_score(tests: DataFrame, by: list[str], points: Column, precision: in
 
 
 def with_generated_tests(problems: DataFrame, generated: DataFrame, key: str = "id") -> DataFrame:
-    """Official and generated tests of each problem, official first; both missing is null."""
+    """Official and generated tests of each problem, official first, generated ones in their text's order; both missing is null."""
     kind = "array<struct<input:string,output:string>>"
-    lists = generated.groupBy(F.col("problem_id").alias(key)).agg(F.collect_list(F.struct("input", "output")).alias("_generated"))
+    lists = generated.groupBy(F.col("problem_id").alias(key)).agg(F.sort_array(F.collect_list(F.struct("input", "output"))).alias("_generated"))
     both = F.concat(F.coalesce("official_tests", F.array().cast(kind)), F.coalesce("_generated", F.array().cast(kind)))
     return problems.join(lists, key, "left").withColumn("tests", F.when(F.size(both) > 0, both)).drop("_generated")
 
@@ -68,3 +71,59 @@ def pass_rates(rewards: DataFrame, by: str, reward: str, low: float = 0.1, high:
     """(by, pass_rate) of groups whose mean reward lies strictly between the bounds, in single precision; null rewards don't count."""
     mean = rewards.groupBy(by).agg(F.avg(reward).cast("float").alias("pass_rate"))
     return mean.filter((F.col("pass_rate") > F.lit(low).cast("float")) & (F.col("pass_rate") < F.lit(high).cast("float")))
+
+
+def lookup_tests(wanted: DataFrame, tests: DataFrame) -> DataFrame:
+    """wanted (year, problem_id, test_name, …) with test_input and test_output of the same three keys; null where there is no such test."""
+    return wanted.join(tests.select("year", "problem_id", "test_name", "test_input", "test_output"), ["year", "problem_id", "test_name"], "left")
+
+
+def score_subtasks(runs: DataFrame, by: list[str], batch: int = 1) -> DataFrame:
+    """(by, subtask, score, weighted_score, status) of sub-tasks that share tests, each test run once for a submission.
+
+    runs has, beside `by`, a row for each test of each sub-task: subtask, points, precision, place (of the test in the
+    sub-task), test, and what running it would give: score and status. Sub-tasks are worked off in their order. One that
+    holds a test known to have failed runs nothing more; else its unknown tests run in batches (below 1: all at once) up to the first failure.
+    Tests that didn't run are SKIPPED. No tests at all: score 0, SKIPPED. A submission's tests are one group of a task.
+    """
+    schema = runs.select(*by, "subtask", F.lit(0.0).alias("score"), F.lit(0.0).alias("weighted_score"), F.lit("").alias("status")).schema
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        known: dict[object, tuple[float, str]] = {}
+        out = []
+        for subtask, rows in group.sort_values(["subtask", "place", "test"], kind="stable").groupby("subtask", sort=True):
+            rows = rows[rows["test"].notna()]
+            todo = [r for r in rows.itertuples() if r.test not in known]
+            if not any(known[r.test][0] == 0.0 for r in rows.itertuples() if r.test in known):
+                step = batch if batch >= 1 else max(1, len(todo))
+                for at in range(0, len(todo), step):
+                    part = todo[at : at + step]
+                    known.update({r.test: (r.score, r.status) for r in part})
+                    if any(r.score == 0.0 for r in part):
+                        break
+            seen = [known.get(r.test, (0.0, "SKIPPED")) for r in rows.itertuples()]
+            least = min((s for s, _ in seen), default=0.0)
+            first = group[group["subtask"] == subtask].iloc[0]
+            status = min((s for _, s in seen), key=STATUS.__getitem__, default="SKIPPED")
+            digits = int(first["precision"])
+            out.append((*(first[c] for c in by), subtask, round(least, digits), round(least * float(first["points"]), digits), status))
+        return pd.DataFrame(out, columns=schema.names)
+
+    return runs.groupBy(*by).applyInPandas(run, schema)
+
+
+def explode_generations(rows: DataFrame, generations: str, name: str = "generation") -> DataFrame:
+    """A row for each generation of each row, numbered in generation_index; rows without one vanish."""
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != generations], F.posexplode(generations).alias("generation_index", name))
+
+
+def score_groups(rows: DataFrame, key: str, generations: str, reward: Column, n: int | None = None) -> DataFrame:
+    """(key, pass_rate_rewards, pass_rate): rewards of each row's generations in their order, and their mean without nulls.
+
+    reward is an expression over the row's columns and `generation`. Rows without generations have none; with n, a string
+    column of one text counts as n copies of it.
+    """
+    each = explode_generations(rows, generations) if n is None else replicate(rows.withColumnRenamed(generations, "generation"), n, "generation_index")
+    scored = each.select(key, "generation_index", reward.alias("r"))
+    grouped = scored.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("generation_index", "r"))).alias("rs"), F.avg("r").alias("pass_rate"))
+    return grouped.select(key, F.transform("rs", lambda x: x["r"]).alias("pass_rate_rewards"), "pass_rate")

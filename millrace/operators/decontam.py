@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as t
-
-#: Largest estimated size of the benchmark's n-grams that is broadcast; beyond it the join shuffles.
-BROADCAST_BYTES = 64 << 20
-
+from millrace.operators.lineage import BROADCAST_BYTES, cut
 
 def ngram_rows(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """(key, ngram), distinct within a row."""
@@ -24,16 +21,28 @@ def inverted_index(benchmark: DataFrame, key: str = "item_id", text: str = "text
 
 
 def flags(corpus: DataFrame, benchmarks: dict[str, DataFrame], key: str = "doc_id", text: str = "text", benchmark_text: str = "text", n: int = 8) -> DataFrame:
-    """The corpus with a contaminated_<name> column for each benchmark; its n-grams are made once."""
+    """The corpus with a contaminated_<name> column for each benchmark; its n-grams are made once.
+
+    A row is known by its key and the hash of its text, so null and shared keys are flagged like others. Only the rows
+    that hit come back from the join; they are broadcast where their checked size allows, and the corpus stays where it is.
+    """
     parts = [b.select(F.lit(name).alias("benchmark"), F.explode(t.ngrams(t.split(t.normal(F.col(benchmark_text))), n)).alias("ngram")) for name, b in benchmarks.items()]
-    lookup = reduce(DataFrame.unionByName, parts).distinct()
+    lookup = cut(reduce(DataFrame.unionByName, parts).distinct())
     size = lookup.agg(F.sum(F.octet_length("ngram") + 48)).first()[0] or 0
+    row = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
+    grams = corpus.select(row.alias("row"), F.explode(t.ngrams(t.split(t.normal(F.col(text))), n)).alias("ngram"))
     if size <= BROADCAST_BYTES:
-        lookup = F.broadcast(lookup)
-    grams = corpus.select(key, F.explode(t.ngrams(t.split(t.normal(F.col(text))), n)).alias("ngram"))
-    hits = grams.join(lookup, "ngram").groupBy(key).agg(*[F.bool_or(F.col("benchmark") == name).alias(f"contaminated_{name}") for name in benchmarks])
-    marked = corpus.join(hits, key, "left")
-    return marked.withColumns({f"contaminated_{name}": F.coalesce(f"contaminated_{name}", F.lit(False)) for name in benchmarks})
+        found = grams.join(F.broadcast(lookup), "ngram")
+    else:  # only 128 bits of each n-gram are shuffled
+        hashed = lambda df: df.withColumn("ngram", F.struct(F.xxhash64("ngram").alias("a"), F.xxhash64(F.lit("ngram"), "ngram").alias("b")))
+        found = hashed(grams).join(hashed(lookup), "ngram")
+    names = [f"contaminated_{name}" for name in benchmarks]
+    hits = cut(found.groupBy("row").agg(*[F.bool_or(F.col("benchmark") == name).alias(f"contaminated_{name}") for name in benchmarks]))
+    if hits.count() * 64 <= BROADCAST_BYTES:
+        hits = F.broadcast(hits)
+    own = F.struct(*[F.col(f"`{c}`") for c in corpus.columns])
+    marked = corpus.select(own.alias("own"), row.alias("row")).join(hits, "row", "left")
+    return marked.select(*[F.col("own").getField(c).alias(c) for c in corpus.columns if c not in names], *[F.coalesce(c, F.lit(False)).alias(c) for c in names])
 
 
 def cleanup(flagged: DataFrame) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as t
+from millrace.sources.sinks import write_json
 
 REQUIRED = ("id", "source", "domain", "language", "prompt", "solution", "assistant", "messages", "verifiable", "difficulty")
+BLANKS = ("id", "prompt", "solution", "assistant", "messages")
 THINK_ANSWER = rf"(?sd)\A<think>{t.SPACE}*.*?{t.SPACE}*</think>{t.SPACE}*<answer>{t.SPACE}*.*?{t.SPACE}*</answer>{t.SPACE}*\n?\z"
 EVAL_STRICT = rf"(?sd)\A<think>{t.SPACE}*\n.*?\n{t.SPACE}*</think>{t.SPACE}*\n<answer>{t.SPACE}*\n(.*?)\n{t.SPACE}*</answer>{t.SPACE}*\n?\z"
 
@@ -20,12 +21,28 @@ def messages_valid(messages: Column) -> Column:
     return F.coalesce((F.size(messages) >= 2) & says("user") & says("assistant"), F.lit(False))
 
 
+def blank(df: DataFrame, name: str) -> Column:
+    """Whether a column is missing, null, white space or an empty list."""
+    if name not in df.columns:
+        return F.lit(True)
+    kind = df.schema[name].dataType.typeName()
+    return F.coalesce(F.size(name) == 0, F.lit(True)) if kind in ("array", "map") else t.safe(F.col(name)) == ""
+
+
+def with_valid_ids(df: DataFrame, name: str = "id") -> DataFrame:
+    """Rows whose id isn't blank; none left is an error."""
+    kept = df.filter(~blank(df, name))
+    if kept.isEmpty():
+        raise ValueError("no row has an id")
+    return kept
+
+
 def sanity(df: DataFrame) -> DataFrame:
     """One row of counts, ratios and mean lengths; columns that are missing count as blank throughout."""
     text = lambda c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
     rows = F.count(F.lit(1))
     share = lambda cond: F.coalesce(F.try_divide(F.count_if(cond).cast("double"), rows.cast("double")), F.lit(0.0))
-    blanks = [F.count_if(t.safe(text(c)) == "").alias(f"empty_{c}") for c in ("id", "prompt", "solution", "assistant")]
+    blanks = [F.count_if(blank(df, c)).alias(f"empty_{c}") for c in BLANKS]
     messages = messages_valid(F.col("messages")) if "messages" in df.columns else F.lit(False)
     verifiable = F.coalesce(F.col("verifiable"), F.lit(False)) if "verifiable" in df.columns else F.lit(False)
     means = [F.coalesce(F.avg(F.coalesce(F.length(text(c)), F.lit(0)).cast("double")), F.lit(0.0)).alias(f"mean_{c}_chars") for c in ("prompt", "solution", "assistant")]
@@ -43,7 +60,7 @@ def group_counts(df: DataFrame, column: str) -> DataFrame:
 def warnings(report: dict[str, Any], columns: list[str]) -> list[str]:
     """Which of the five rules a sanity row breaks."""
     n = max(1, report["inspected"])
-    empty = max(report[f"empty_{c}"] for c in ("id", "prompt", "solution", "assistant")) / n
+    empty = max(report[f"empty_{c}"] for c in BLANKS) / n
     rules = [
         (f"missing columns: {sorted(set(REQUIRED) - set(columns))}", bool(set(REQUIRED) - set(columns))), ("empty ratio above 0.01", empty > 0.01), ("format valid ratio below 0.95", report["format_valid_ratio"] < 0.95),
         ("messages valid ratio below 0.99", report["messages_valid_ratio"] < 0.99), ("verifiable ratio below 0.5", report["verifiable_ratio"] < 0.5),
@@ -55,8 +72,7 @@ def write_report(df: DataFrame, path: str) -> dict[str, Any]:
     """sanity() and its warnings as a JSON file."""
     report = sanity(df).first().asDict()
     report["warnings"] = warnings(report, df.columns)
-    with open(path, "w", encoding="utf-8") as out:
-        json.dump(report, out, indent=2, ensure_ascii=False)
+    write_json(report, path)
     return report
 
 

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import gzip
 import json
-import os
 import sys
 from typing import IO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources import files
 from millrace.sources.sinks import write_parquet
 
-
-def open_text(path: str) -> IO[str]:
-    return gzip.open(path, "rt", encoding="utf-8") if path.endswith(".gz") else open(path, encoding="utf-8")
+_WRONG = "_not_an_object"
 
 
 def detect_format(path: str) -> str:
@@ -25,37 +22,44 @@ def detect_format(path: str) -> str:
         return "jsonl"
     if low.endswith(".json"):
         return "json"
-    with open_text(path) as lines:
-        first = next((x.lstrip()[:1] for x in lines if x.strip()), "")
-    return "json" if first in ("[", "{") else "jsonl"
+    first = SparkSession.active().read.text(path).select(F.ltrim(F.regexp_replace("value", r"[\t\r]", " ")).alias("value")).filter("value <> ''").first()
+    return "json" if first is not None and first.value[0] in "[{" else "jsonl"
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A root object is a row, a root array its objects; anything else is an error."""
-    with open_text(path) as f:
-        root = json.load(f)
-    rows = root if isinstance(root, list) else [root]
-    if not all(isinstance(r, dict) for r in rows):
+    """A root object is a row, a root array its objects; anything else is an error. Tasks parse the files."""
+    rows = spark.read.option("multiLine", "true").option("columnNameOfCorruptRecord", _WRONG).json(path)
+    if _WRONG not in rows.columns:
+        return rows
+    rest = [c for c in rows.columns if c != _WRONG]
+    if not rest or rows.filter(F.col(_WRONG).isNotNull()).limit(1).collect():
         raise ValueError(f"{path}: expected an object or an array of objects")
-    return spark.read.option("multiLine", "true").json(path)
+    return rows.drop(_WRONG)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Blank lines are skipped; the first bad line of a file is named. Lines are checked and parsed by tasks."""
-    lines = spark.read.text(path).withColumn("_file", F.input_file_name()).filter("trim(value) <> ''")
+    """Blank lines are skipped; the first bad line of the first bad file is named. Lines are checked and parsed by tasks."""
+    lines = spark.read.text(path).filter("trim(value) <> ''")
     good = F.expr("try_parse_json(value)").isNotNull() & (F.substring(F.ltrim("value"), 1, 1) == "{")
     if not lines.filter(~good).isEmpty():
-        for at, line in enumerate(open_text(path), 1):
-            if line.strip():
-                try:
-                    wrong = not isinstance(json.loads(line), dict)
-                except ValueError as error:
-                    raise ValueError(f"{path}:{at}: {error}") from error
-                if wrong:
-                    raise ValueError(f"{path}:{at}: expected an object")
+        _name_bad_line(spark, path, good)
     return spark.read.json(path)
 
 
+def _name_bad_line(spark: SparkSession, path: str, good) -> None:
+    """Raise for the first bad line; its number is counted over the blocks that tasks read."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    bad = lines.filter((F.trim("value") != "") & ~good).orderBy("file", "block", "at").first()
+    blocks = lines.filter(F.col("file") == bad.file).groupBy("block").agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()
+    number = sum(b.n for b in blocks if b.block < bad.block) + next(bad["at"] - b["first"] for b in blocks if b.block == bad.block) + 1
+    where = f"{bad.file.removeprefix('file://')}:{number}"
+    try:
+        json.loads(bad.value)
+    except ValueError as error:
+        raise ValueError(f"{where}: {error}") from error
+    raise ValueError(f"{where}: expected an object")
+
+
 def read_any(spark: SparkSession, path: str, kind: str = "auto") -> DataFrame:
     kind = detect_format(path) if kind == "auto" else kind
     return {"json": read_json, "jsonl": read_jsonl}[kind](spark, path)
@@ -80,6 +84,6 @@ def read_stdin(spark: SparkSession, kind: str = "auto", stream: IO[str] | None =
 
 def convert(spark: SparkSession, source: str, target: str, compression: str = "snappy", rows_per_file: int | None = None, index: str | None = None) -> None:
     """A JSON file as Parquet; see sinks.write_parquet."""
-    if not os.path.exists(source):
+    if not files.exists(source):
         raise FileNotFoundError(source)
     write_parquet(read_any(spark, source), target, compression, rows_per_file, index)

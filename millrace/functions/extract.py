@@ -79,7 +79,9 @@ def unified(df: DataFrame, prompt: Column, solution: Column, reasoning: Column,
     """The unified record of rows whose prompt and solution are filled; with keep_rejects, a blank record for each other row."""
     rows = df.select(prompt.alias("prompt"), solution.alias("solution"), reasoning.alias("reasoning"), (t.safe(difficulty) if difficulty is not None else F.lit("")).alias("difficulty"))
     filled = (F.col("prompt") != "") & (F.col("solution") != "")
-    rows = rows if keep_rejects else rows.filter(filled)
+    if not keep_rejects:
+        # a filter would be pushed below what makes the columns, with a copy of all of it; a generator is not
+        rows = rows.select(F.explode(F.when(filled, F.array(F.struct("*")))).alias("row")).select("row.*")
     rows = rows.withColumn("assistant", assistant(F.col("reasoning"), F.col("solution")))
     out = rows.select(
         build_id(F.lit(source), F.col("prompt"), F.col("solution")).alias("id"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), F.lit("en").alias("language"), F.lit(verifiable).alias("verifiable"),

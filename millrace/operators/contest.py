@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from millrace.operators.mixture import replicate
 
@@ -86,30 +88,33 @@ def score_subtasks(runs: DataFrame, by: list[str], batch: int = 1) -> DataFrame:
     holds a test known to have failed runs nothing more; else its unknown tests run in batches (below 1: all at once) up to the first failure.
     Tests that didn't run are SKIPPED. No tests at all: score 0, SKIPPED. A submission's tests are one group of a task.
     """
-    schema = runs.select(*by, "subtask", F.lit(0.0).alias("score"), F.lit(0.0).alias("weighted_score"), F.lit("").alias("status")).schema
+    fields = ["subtask", "place", "test", "score", "status", "points", "precision"]
+    result = StructType([runs.schema["subtask"], *StructType.fromDDL("score double, weighted_score double, status string")])
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    @F.udf(ArrayType(result), useArrow=True)
+    def scored(rows: list) -> list:
         known: dict[object, tuple[float, str]] = {}
         out = []
-        for subtask, rows in group.sort_values(["subtask", "place", "test"], kind="stable").groupby("subtask", sort=True):
-            rows = rows[rows["test"].notna()]
-            todo = [r for r in rows.itertuples() if r.test not in known]
-            if not any(known[r.test][0] == 0.0 for r in rows.itertuples() if r.test in known):
+        for subtask, group in groupby(rows, key=lambda r: r["subtask"]):
+            first, *_ = group = list(group)
+            tests = [r for r in group if r["test"] is not None]
+            todo = [r for r in tests if r["test"] not in known]
+            if not any(r["test"] in known and known[r["test"]][0] == 0.0 for r in tests):
                 step = batch if batch >= 1 else max(1, len(todo))
                 for at in range(0, len(todo), step):
                     part = todo[at : at + step]
-                    known.update({r.test: (r.score, r.status) for r in part})
-                    if any(r.score == 0.0 for r in part):
+                    known.update((r["test"], (r["score"], r["status"])) for r in part)
+                    if any(r["score"] == 0.0 for r in part):
                         break
-            seen = [known.get(r.test, (0.0, "SKIPPED")) for r in rows.itertuples()]
+            seen = [known.get(r["test"], (0.0, "SKIPPED")) for r in tests]
             least = min((s for s, _ in seen), default=0.0)
-            first = group[group["subtask"] == subtask].iloc[0]
             status = min((s for _, s in seen), key=STATUS.__getitem__, default="SKIPPED")
             digits = int(first["precision"])
-            out.append((*(first[c] for c in by), subtask, round(least, digits), round(least * float(first["points"]), digits), status))
-        return pd.DataFrame(out, columns=schema.names)
+            out.append((subtask, round(least, digits), round(least * first["points"], digits), status))
+        return out
 
-    return runs.groupBy(*by).applyInPandas(run, schema)
+    grouped = runs.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
+    return grouped.select(*by, F.explode(scored("rows")).alias("s")).select(*by, "s.*")
 
 
 def explode_generations(rows: DataFrame, generations: str, name: str = "generation") -> DataFrame:

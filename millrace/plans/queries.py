@@ -15,14 +15,14 @@ from millrace.functions import code, cot, extract, rewards
 from millrace.functions import text as t
 from millrace.operators import chat, contest, decontam, mixture, quality, resume
 from millrace.sources.scans import spread
-from millrace.streaming import generation, providers
+from millrace.streaming import providers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 NL = "chr(10)"
 COMPLETION = f"""CASE doc_id % 5
- WHEN 0 THEN '<think>'||{NL}||text||{NL}||'</think>'||{NL}||'<answer>'||{NL}||source||' '||substr(text, 1, 20)||{NL}||'</answer>'
+ WHEN 0 THEN '<think>'||{NL}||text||{NL}||'</think>'||{NL}||'<answer>'||{NL}||source||' '||text||{NL}||'</answer>'
  WHEN 1 THEN text
  WHEN 2 THEN '<think>'||{NL}||text||{NL}||'</think>'||{NL}||source
  WHEN 3 THEN 'x'||{NL}||'<think>'||{NL}||text||{NL}||'</think>'||{NL}||'<answer>'||{NL}||source||{NL}||'</answer>'
@@ -204,10 +204,11 @@ def _(tables):
     return _coded(tables).select("doc_id", rewards.code_format(F.col("c"), language).alias("reward"))
 
 
-@query("binary_code", "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN (doc_id % 7) / 6.0 > 0.99 THEN 1::DOUBLE ELSE 0::DOUBLE END AS reward FROM documents")
+@query("binary_code", "SELECT doc_id, CASE WHEN length(text) % 7 = 0 THEN NULL WHEN (length(text) % 7) / 6.0 > 0.99 THEN 1::DOUBLE ELSE 0::DOUBLE END AS reward FROM documents WHERE text IS NOT NULL")
 def _(tables):
-    score = F.when(F.col("doc_id") % 7 != 0, (F.col("doc_id") % 7) / 6)
-    return tables("documents").select("doc_id", rewards.binary_code(score).alias("reward"))
+    n = F.length("text") % 7
+    score = F.when(n != 0, n / 6)
+    return tables("documents").filter("text IS NOT NULL").select("doc_id", rewards.binary_code(score).alias("reward"))
 
 
 @query(
@@ -221,14 +222,6 @@ def _(tables):
     return tables("documents").select("doc_id", rewards.output_matches(F.col("text"), other).alias("passed"))
 
 
-@query("accuracy")
-def _(tables):
-    d = F.col("doc_id")
-    gold = F.when(d % 4 == 0, F.col("text")).otherwise(F.concat(F.lit("so $\\frac{"), d.cast("string"), F.lit("}{400}$")))
-    said = F.concat(F.lit("thus \\boxed{\\frac{"), F.when(d % 3 == 0, d + 1).otherwise(d).cast("string"), F.lit("}{400}}"))
-    return tables("documents").select("doc_id", rewards.accuracy(said, gold).alias("reward"))
-
-
 # --- contests and pass rates ---------------------------------------------------------------------
 
 for _mode, _score in (("pass_fail", "w"), ("partial", "s"), ("weighted_sum", "w + s * 0.1::DOUBLE")):
@@ -330,11 +323,11 @@ def _(tables):
 
 @query(
     "weighted_mixture",
-    f"""SELECT 'a' AS part, doc_id AS id FROM (SELECT *, {_RANK.format(seed=7, key="doc_id")} AS r, count(*) OVER () AS n FROM documents WHERE lang = 'en') WHERE r <= floor(n * 0.25)
+    f"""SELECT 'a' AS part, doc_id AS id FROM (SELECT *, {_RANK.format(seed=7, key="doc_id")} AS r, count(*) OVER () AS n FROM documents) WHERE r <= floor(n * 0.25)
  UNION ALL SELECT 'b', conv_id * 100 + turn FROM (SELECT *, {_RANK.format(seed=7, key="(conv_id * 100 + turn)")} AS r, count(*) OVER () AS n FROM conversations) WHERE r <= floor(n * 0.5)""",
 )
 def _(tables):
-    a = tables("documents").filter("lang = 'en'").select(F.lit("a").alias("part"), F.col("doc_id").alias("id"))
+    a = tables("documents").select(F.lit("a").alias("part"), F.col("doc_id").alias("id"))
     b = tables("conversations").select(F.lit("b").alias("part"), (F.col("conv_id") * 100 + F.col("turn")).alias("id"))
     return mixture.mixture([(a, 0.25), (b, 0.5)], "id", 7)
 
@@ -353,10 +346,14 @@ def _(tables):
     return mixture.expand(tables("benchmark").select("item_id"), 900, "item_id").groupBy("item_id").agg(F.count("*").alias("copies"))
 
 
-@query("target_counts", "SELECT * FROM (VALUES ('numina', 60000::BIGINT), ('codeforces', 20000::BIGINT), ('hotpotqa', 12000::BIGINT), ('openbookqa', 8000::BIGINT)) v(source, target)")
+@query(
+    "target_counts",
+    """WITH n AS (SELECT count(*) AS n FROM documents), s AS (SELECT unnest(['numina', 'codeforces', 'hotpotqa', 'openbookqa']) AS source, unnest([0.60, 0.20, 0.12, 0.08]::DOUBLE[]) AS share),
+ w AS (SELECT source, floor(n * share)::BIGINT AS target, n FROM s, n) SELECT source, target + CASE WHEN source = 'numina' THEN n - (SELECT sum(target) FROM w)::BIGINT ELSE 0 END AS target FROM w""",
+)
 def _(tables):
-    spark = tables("region").sparkSession
-    return spark.createDataFrame(list(mixture.targets(100_000).items()), "source string, target long")
+    docs = tables("documents")
+    return docs.sparkSession.createDataFrame(list(mixture.targets(docs.count()).items()), "source string, target long")
 
 
 @query("row_slice", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 200 OFFSET 100")
@@ -367,7 +364,7 @@ def _(tables):
 # --- reports -------------------------------------------------------------------------------------
 
 _UNIFIED = f"""u AS (SELECT CASE WHEN doc_id % 50 = 0 THEN '' ELSE doc_id::VARCHAR END AS id, source, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE lang END AS domain, CASE WHEN doc_id % 31 = 0 THEN '  ' ELSE source END AS prompt,
-  CASE WHEN doc_id % 17 = 0 THEN NULL ELSE substr(text, 1, 40) END AS solution, {COMPLETION} AS assistant, doc_id % 3 = 0 AS verifiable FROM documents)"""
+  CASE WHEN doc_id % 17 = 0 THEN NULL ELSE text END AS solution, {COMPLETION} AS assistant, doc_id % 3 = 0 AS verifiable FROM documents)"""
 
 
 def _unified(tables) -> DataFrame:
@@ -383,12 +380,16 @@ _VALID = r"regexp_matches(coalesce(assistant, ''), '(?s)\A<think>\s*.*?\s*</thin
 @query(
     "sanity_report",
     rf"""WITH {_UNIFIED} SELECT count(*) AS inspected, count_if(trim(coalesce(id, '')) = '')::BIGINT AS empty_id, count_if(trim(coalesce(prompt, '')) = '')::BIGINT AS empty_prompt, count_if(trim(coalesce(solution, '')) = '')::BIGINT AS empty_solution,
- count_if(trim(coalesce(assistant, '')) = '')::BIGINT AS empty_assistant, count_if({_VALID}) / count(*)::DOUBLE AS format_valid_ratio,
- 0::DOUBLE AS messages_valid_ratio, count_if(verifiable) / count(*)::DOUBLE AS verifiable_ratio,
+ count_if(trim(coalesce(assistant, '')) = '')::BIGINT AS empty_assistant, count_if(TRY_CAST(id AS BIGINT) % 4 = 0)::BIGINT AS empty_messages, count_if({_VALID}) / count(*)::DOUBLE AS format_valid_ratio,
+ count_if(TRY_CAST(id AS BIGINT) % 4 = 1 AND trim(coalesce(solution, '')) <> '') / count(*)::DOUBLE AS messages_valid_ratio, count_if(verifiable) / count(*)::DOUBLE AS verifiable_ratio,
  avg(length(coalesce(prompt, ''))) AS mean_prompt_chars, avg(length(coalesce(solution, ''))) AS mean_solution_chars, avg(length(coalesce(assistant, ''))) AS mean_assistant_chars FROM u""",
 )
 def _(tables):
-    return quality.sanity(_unified(tables))
+    # no turns, a question with its answer, a question alone
+    turn = lambda role, text: F.struct(F.lit(role).alias("role"), F.coalesce(text, F.lit("")).alias("content"))
+    asked, four = turn("user", F.lit("why?")), F.expr("CASE WHEN id = '' THEN 2 ELSE CAST(id AS BIGINT) % 4 END")
+    turns = F.when(four == 1, F.array(asked, turn("assistant", F.col("solution")))).when(four > 1, F.array(asked))
+    return quality.sanity(_unified(tables).withColumn("messages", turns))
 
 
 @query("source_counts", "SELECT source, count(*) AS n FROM documents GROUP BY source")
@@ -468,9 +469,9 @@ def _(tables):
     return _chats(tables).select("conv_id", extract.role_content(F.col("messages"), "assistant").alias("content"))
 
 
-@query("make_conversation", "SELECT doc_id, 'system|Be brief.|user|' || source AS prompt FROM documents")
+@query("make_conversation", "SELECT doc_id, 'system|Be brief.|user' || coalesce('|' || text, '') AS prompt FROM documents")
 def _(tables):
-    rows = chat.make_conversation(tables("documents").select("doc_id", "source"), "source", "Be brief.")
+    rows = chat.make_conversation(tables("documents").select("doc_id", "text"), "text", "Be brief.")
     return rows.select("doc_id", F.array_join(F.flatten(F.transform("prompt", lambda m: F.array(m["role"], m["content"]))), "|").alias("prompt"))
 
 
@@ -491,9 +492,9 @@ def _(tables):
     return _math(tables).select("doc_id", extract.final_answer(F.col("solution")).alias("answer"))
 
 
-@query("numina_tail_trim", f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN trim(source || ' words') WHEN 1 THEN source ELSE source || ' 42 words' END AS reasoning FROM documents")
+@query("numina_tail_trim", r"SELECT doc_id, CASE doc_id % 3 WHEN 2 THEN 'R ' || text || ' 42 words' ELSE regexp_replace(regexp_replace(regexp_replace(CASE doc_id % 3 WHEN 0 THEN 'R ' || text || ' words Thus we get 42.' ELSE 'R ' || text || ' 42 ' END, '(?is)(Thus|Therefore|Hence|So).{0,30}42\.?\s*\z', ''), '\s+\z', ''), '\s*42\s*\z', '') END AS reasoning FROM documents")
 def _(tables):
-    made = F.expr("CASE doc_id % 3 WHEN 0 THEN source || ' words Thus we get 42.' WHEN 1 THEN source || ' 42 ' ELSE source || ' 42 words' END")
+    made = F.expr("CASE doc_id % 3 WHEN 0 THEN 'R ' || text || ' words Thus we get 42.' WHEN 1 THEN 'R ' || text || ' 42 ' ELSE 'R ' || text || ' 42 words' END")
     return tables("documents").select("doc_id", extract.trim_tail(made, F.lit("42")).alias("reasoning"))
 
 
@@ -502,8 +503,10 @@ _RECORD = """'{name}-' || substr(sha1('org/{name}' || chr(10) || p || chr(10) ||
 
 
 def _record(rows: DataFrame) -> DataFrame:
-    """Messages as their assistant text, which is what the oracle builds."""
-    return rows.withColumn("assistant", F.element_at("messages", 2)["content"]).drop("messages")
+    """Messages as their assistant text, which is what the oracle builds, after a check that they are the two turns."""
+    ask, said = F.col("messages")[0], F.col("messages")[1]
+    whole = (F.size("messages") == 2) & (ask["role"] == "user") & (ask["content"] == F.col("prompt")) & (said["role"] == "assistant")
+    return rows.withColumn("assistant", F.when(whole, said["content"])).drop("messages")
 
 
 @query(
@@ -535,7 +538,7 @@ def _(tables):
 
 @query(
     "unified_openbook",
-    rf"""WITH x AS (SELECT 'Stem ' || doc_id || chr(10) || chr(10) || 'Options:' || chr(10) || 'A. ' || source || chr(10) || 'B. ' || lang || chr(10) || 'B. last' AS p,
+    rf"""WITH x AS (SELECT 'Stem ' || doc_id || ' ' || coalesce(text, '') || '.' || chr(10) || chr(10) || 'Options:' || chr(10) || 'A. ' || source || chr(10) || 'B. ' || lang || chr(10) || 'B. last' AS p,
   CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN 'last' ELSE 'Z' END AS a, CASE WHEN doc_id % 2 = 0 THEN 'I use the given science fact and option elimination.' || chr(10) || 'Fact: ' || lang ELSE 'I use science facts and option elimination to choose the best answer.' END AS r FROM documents)
  SELECT {_RECORD.format(name="book", domain="science_qa", verifiable="false", difficulty="''", hint="router->solver->critic->refiner", tools="false")} FROM x""",
 )
@@ -543,14 +546,14 @@ def _(tables):
     d = F.col("doc_id")
     choices = F.struct(F.array(F.lit("A"), F.lit("B"), F.lit("B"), F.lit("C")).alias("label"), F.array(F.col("source"), F.col("lang"), F.lit("last"), F.lit(" ")).alias("text"))
     rows = tables("documents").select(
-        F.concat(F.lit("Stem "), d.cast("string")).alias("question_stem"), choices.alias("choices"), F.when(d % 3 == 0, "A").when(d % 3 == 1, "B").otherwise("Z").alias("answerKey"), F.when(d % 2 == 0, F.col("lang")).alias("fact1")
+        F.concat(F.lit("Stem "), d.cast("string"), F.lit(" "), F.coalesce("text", F.lit("")), F.lit(".")).alias("question_stem"), choices.alias("choices"), F.when(d % 3 == 0, "A").when(d % 3 == 1, "B").otherwise("Z").alias("answerKey"), F.when(d % 2 == 0, F.col("lang")).alias("fact1")
     )
     return _record(extract.openbook(rows, "org/book"))
 
 
 @query(
     "unified_codeforces",
-    rf"""WITH x AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'P ' || doc_id ELSE 'Title' || chr(10) || chr(10) || source || chr(10) || chr(10) || 'Input: n' END AS p, doc_id % 2 = 0 AS chat, source, lang FROM documents),
+    rf"""WITH x AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'P ' || doc_id ELSE 'Title' || chr(10) || chr(10) || 'D ' || coalesce(text, '') || '.' || chr(10) || chr(10) || 'Input: n' END AS p, doc_id % 2 = 0 AS chat, source, lang FROM documents),
  y AS (SELECT p, CASE WHEN chat THEN 'int x' || doc_id || ';' ELSE '' END AS c, CASE WHEN chat THEN 'done ' || lang ELSE 'Implementation provided in reasoning.' END AS a,
   CASE WHEN chat THEN '```cpp' || chr(10) || 'int x' || doc_id || ';' || chr(10) || '```' || chr(10) || 'So, done ' || lang ELSE 'I solve this step by step and focus on correctness.' END AS m FROM x),
  z AS (SELECT p, a, CASE WHEN c <> '' THEN m || chr(10) || chr(10) || 'Reference implementation:' || chr(10) || '```cpp' || chr(10) || c || chr(10) || '```' ELSE m END AS r FROM y)
@@ -560,7 +563,7 @@ def _(tables):
     d = F.col("doc_id").cast("string")
     said = F.concat(F.lit("```cpp\nint x"), d, F.lit(";\n```\nSo, done "), F.col("lang"))
     turns = F.when(F.col("doc_id") % 2 == 0, extract.messages(F.concat(F.lit(" P "), d), said))
-    rows = tables("documents").select(turns.alias("messages"), F.lit("Title").alias("name"), F.col("source").alias("description"), F.lit("n").alias("input"))
+    rows = tables("documents").select(turns.alias("messages"), F.lit("Title").alias("name"), F.concat(F.lit("D "), F.coalesce("text", F.lit("")), F.lit(".")).alias("description"), F.lit("n").alias("input"))
     return _record(extract.codeforces(rows, "org/cf"))
 
 
@@ -633,25 +636,26 @@ def _(tables):
     return tables("part").select("p_partkey", code.param_count(name).alias("params"))
 
 
-@query("code_patch_python")
+@query("code_patch_python", "SELECT p_partkey, 'from fractions import Fraction' || chr(10) || 'from collections.abc import Mapping' || chr(10) || 'from math import gcd' || chr(10) || 'import sys' || chr(10) || 'sys.set_int_max_str_digits(0)' || chr(10) || 'print(gcd(' || p_size || ', 4))' AS code FROM part")
 def _(tables):
     made = F.concat(F.lit("from fractions import gcd, Fraction\nfrom collections import Mapping\nprint(gcd("), F.col("p_size").cast("string"), F.lit(", 4))\n"))
     return tables("part").select("p_partkey", code.patch(made, F.lit("python")).alias("code"))
 
 
-@query("valid_id", "SELECT doc_id FROM documents WHERE doc_id % 50 <> 0")
+@query("valid_id", "SELECT doc_id FROM documents WHERE doc_id % 50 <> 0 AND regexp_matches(text, '\\S')")
 def _(tables):
-    return tables("documents").select("doc_id", F.expr("CASE WHEN doc_id % 50 = 0 THEN ' ' ELSE source END").alias("id")).filter(t.safe(F.col("id")) != "").select("doc_id")
+    rows = tables("documents").select("doc_id", F.expr("CASE WHEN doc_id % 50 = 0 THEN ' ' ELSE text END").alias("id"))
+    return quality.with_valid_ids(rows).select("doc_id")
 
 
-@query("prompt_template", "SELECT doc_id, 'Solve: ' || source || '!' AS prompt FROM documents")
+@query("prompt_template", "SELECT doc_id, 'Solve {it}: ' || coalesce(text, '') || ' (' || lang || ')!' AS prompt FROM documents")
 def _(tables):
-    return tables("documents").select("doc_id", F.replace(F.lit("Solve: {prompt}!"), F.lit("{prompt}"), F.col("source")).alias("prompt"))
+    return tables("documents").select("doc_id", chat.from_template("Solve {it}: {prompt} ({lang})!", prompt=F.col("text"), lang=F.col("lang")).alias("prompt"))
 
 
-@query("eval_prompt", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || chr(10) || chr(10) || 'Options:' || chr(10) || lang ELSE source END AS prompt FROM documents")
+@query("eval_prompt", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Q ' || text || '.' || chr(10) || chr(10) || 'Options:' || chr(10) || lang ELSE 'Q ' || text || '.' END AS prompt FROM documents WHERE text IS NOT NULL")
 def _(tables):
-    return tables("documents").select("doc_id", chat.with_options(F.col("source"), F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).alias("prompt"))
+    return tables("documents").filter("text IS NOT NULL").select("doc_id", chat.with_options(F.concat(F.lit("Q "), "text", F.lit(".")), F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).alias("prompt"))
 
 
 # --- sources and resumed generation ----------------------------------------------------------------
@@ -664,25 +668,7 @@ def _(tables):
     return packed.select(F.from_json("line", "event_id long, event_type string, props string").alias("r")).select("r.*")
 
 
-@query("schema_grouping_text", "SELECT source AS text FROM documents UNION ALL SELECT text FROM benchmark")
-def _(tables):
-    first = chat.to_text(tables("documents").select("source"))
-    return first.unionByName(chat.to_text(tables("benchmark").select("item_id", "text")))
-
-
-@query("generation_resume", "SELECT item_id, CASE WHEN item_id % 5 = 0 THEN '__ERROR__ ValueError: no' ELSE 'A' || length(text) END AS cot_content FROM benchmark")
-def _(tables):
-    def call(prompt: str) -> str:
-        item, _, text = prompt.partition("|")
-        if int(item) % 5 == 0:
-            raise ValueError("no")
-        return f"A{len(text)}"
-
-    rows = tables("benchmark").select("item_id", F.concat_ws("|", "item_id", "text").alias("prompt"))
-    return generation.generate(rows, generation.with_retries(call, 2, 0.0)).select("item_id", "cot_content")
-
-
 @query("code_execution", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 1::DOUBLE ELSE 0::DOUBLE END AS reward FROM documents")
 def _(tables):
-    script = F.when(F.col("doc_id") % 2 == 0, F.concat("source", F.lit("\n1.0"))).otherwise(F.col("source"))
+    script = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 2 == 0, "\n1.0").otherwise("\nfailed"))
     return tables("documents").select("doc_id", providers.execute(script, F.lit("python")).alias("reward"))

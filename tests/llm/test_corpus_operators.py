@@ -298,7 +298,21 @@ def test_simhash(spark, odd, none):
     assert stay.dtypes == odd.dtypes and stay.filter("doc_id = 7").count() == 1 and stay.filter("doc_id IN (2, 3, 4)").count() == 3
     assert simhash.near_duplicates(none).count() == 0 and simhash.one_of_each_group(none).count() == 0
     with pytest.raises(ValueError):
-        simhash.near_duplicates(df, blocks=7, block_bits=17)
+        simhash.near_duplicates(df, blocks=7, block_bits=15)
+    wide = {r.doc_id: r.group_id for r in simhash.near_duplicates(df, blocks=85, block_bits=26).collect()}  # as for 10^9 documents
+    assert np.mean([wide[a] == wide[b] for a, b in pairs]) > 0.95
+
+
+@pytest.mark.parametrize("n, most", [(10**5, 0.12), (10**8, 0.12), (10**10, 0.12)])
+def test_blocks_of_larger_corpora_miss_no_more(n, most):
+    rng, (blocks, bits) = np.random.default_rng(5), simhash.shape(n)
+    heads = simhash.block_orders(blocks, bits)[:, :bits]
+    missed = 0
+    for _ in range(2000):
+        differ = np.zeros(simhash.BITS, bool)
+        differ[rng.choice(simhash.BITS, 80, replace=False)] = True
+        missed += differ[heads].any(1).all()
+    assert missed / 2000 < most and n / 2**bits <= 2 * simhash.CROWD and blocks < 256
 
 
 def test_large_blocks_agree_with_all_pairs():

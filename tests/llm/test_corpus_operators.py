@@ -352,11 +352,13 @@ def test_components(spark):
 
 
 def smith_waterman(a, b):
-    h = np.zeros((len(a) + 1, len(b) + 1), int)
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
-    return h.max()
+    last, best = [0] * (len(b) + 1), 0
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(max(0, last[j] + (2 if x == y else -1), last[j + 1] - 1, row[j] - 1))
+        last, best = row, max(best, *row)
+    return best
 
 
 def test_alignment():
@@ -609,8 +611,8 @@ def test_common_lines_are_removed(spark, odd, none):
 # BPE
 
 
-@pytest.mark.parametrize("room", [24 << 20, 3000, 0])
-def test_bpe(spark, odd, none, room):
+def tiktoken_encoding():
+    """The vocabulary with a splitting pattern of its own, apart from pretokens."""
     import base64
 
     import tiktoken
@@ -618,7 +620,12 @@ def test_bpe(spark, odd, none, room):
     with open(PATH, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    plain = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("room", [24 << 20, 3000, 0])
+def test_bpe(spark, odd, none, room):
+    plain = tiktoken_encoding()
     docs = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.expr("doc_id + 1000").alias("doc_id"), "text"))
     encoded = bpe.encode_corpus(docs, table_bytes=room)
     got = sorted(((r.doc_id, r.token_ids) for r in encoded.collect()), key=str)

@@ -341,6 +341,73 @@ def test_large_blocks_agree_with_all_pairs():
     assert groups(small) == groups(large) and len(small) == len(large) == 700 - 8
 
 
+def close_and_far(n):
+    """n pairs of fingerprints: some differ in just MAX_DISTANCE bits, some in one more; and one crowd of close ones."""
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 2, (n, simhash.BITS)).astype(bool)
+    other = bits.copy()
+    for i in range(n):
+        other[i, rng.choice(simhash.BITS, simhash.MAX_DISTANCE + i % 2, replace=False)] ^= True
+    crowd = np.repeat(bits[:1], 300, 0) ^ (rng.random((300, simhash.BITS)) < 0.05)
+    return np.packbits(np.concatenate([bits, other, crowd]), axis=1).view(np.uint64)
+
+
+def test_all_pairs_at_the_threshold():
+    fp = close_and_far(100)
+    want = {(i, j) for i in range(len(fp)) for j in range(i + 1, len(fp)) if np.bitwise_count(fp[i] ^ fp[j]).sum() <= simhash.MAX_DISTANCE}
+    assert all(((i, i + 100) in want) == (i % 2 == 0) for i in range(100)) and len(want) > 300 * 299 / 2
+    for size in ({}, {"seeds": 7, "width": 64}, {"lanes": 1}, {"lanes": 9}):
+        assert {(int(i), int(j)) for piece in simhash.close_pairs(fp, fp, simhash.MAX_DISTANCE, **size) for i, j in zip(*piece)} == want
+    low, high = fp[:150], fp[150:]
+    assert {(int(i), int(j) + 150) for piece in simhash.close_pairs(low, high, simhash.MAX_DISTANCE) for i, j in zip(*piece)} == {(i, j) for i, j in want if i < 150 <= j}
+    edges = simhash.tile_edges(fp, None, simhash.MAX_DISTANCE)
+    # 50 pairs and the crowd with the first fingerprint and its partner's pair: a forest has nodes less groups edges
+    assert len(edges) == 50 + 300 and set(edges) <= want
+
+
+def groups_of(edges):
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        up[max(find(a), find(b))] = min(find(a), find(b))
+    return {x: find(x) for x in up}
+
+
+def test_simhash_leaves_no_link_out(spark):
+    rng, rows = random.Random(7), []
+    for i in range(0, 300, 3):
+        text = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        near = [f"x{k}" if k % 8 == 0 else w for k, w in enumerate(text)]
+        rows += [(i, " ".join(text)), (i + 1, " ".join(near)), (i + 2, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, pairs = brute_groups(spark, df, simhash.MAX_DISTANCE)
+    want = groups_of(pairs)
+    assert 250 > len(set(want.values())) and 50 < sum((i, i + 1) in set(pairs) for i in range(0, 300, 3))
+    assert {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()} == {i: want.get(i, i) for i, _ in rows}
+
+
+def test_simhash_of_a_table_does_not_depend_on_its_size(spark, monkeypatch):
+    """Not on the blocks that would suit a larger one, nor on the number of parts."""
+    rng, rows = random.Random(9), []
+    for i in range(0, 200, 2):
+        text = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        rows += [(i, " ".join(text)), (i + 1, " ".join(f"x{i}" if k % 8 == 0 else w for k, w in enumerate(text)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = lambda: {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()}
+    want, fitting = groups(), simhash.shape
+    monkeypatch.setattr(simhash, "shape", lambda n: fitting(10**10))
+    assert groups() == want
+    monkeypatch.setattr(simhash, "PART", 40)
+    assert simhash.parts_of(200, 1) == 5 and groups() == want
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(df, blocks=40)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (5, 5), (60, 2), (200, 201), (202, 201)]
     got = {r.u: r.v for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -87,6 +87,18 @@ def first_of_groups(texts):
     return {i: text for i, text in texts.items() if group[i] == i}
 
 
+def test_near_duplicates_leave_no_link_out(spark):
+    """Pairs of texts of which an eighth differs are near the threshold; each pair is on its own, so no third text connects them."""
+    rng, texts = np.random.default_rng(8), {}
+    for i in range(0, 240, 2):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, 200)]
+        texts[i], texts[i + 1] = " ".join(words), " ".join(f"z{x}" if x % 8 == i % 8 else w for x, w in enumerate(words))
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    want = set(first_of_groups(texts))
+    assert 130 < len(want) < 220
+    assert {r.doc_id for r in p.near_duplicates(spark, docs, SF).collect()} == want
+
+
 def holds_item(text, items):
     own = lower_words(text)
     for item in items:

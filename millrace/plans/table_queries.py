@@ -107,8 +107,8 @@ def _(tables):
 def _(tables):
     """Every layout that becomes text, each in files of its own."""
     spark, root = _folder(tables, "mixed")
-    d = F.col("doc_id") % 7
-    docs = tables("documents").filter("text <> ''")
+    d = F.coalesce(F.col("doc_id") % 7, F.lit(6))
+    docs = tables("documents")
     layouts = [
         ("lang AS instruction", "source AS input", "text AS output"), ("lang AS instruction", "text AS output"), ("source AS prompt", "text AS response"), ("source AS prompt", "text AS completion"),
         ("lang AS question", "text AS answer"), ("text",), ("lang AS other", "source AS more"),

@@ -68,7 +68,7 @@ def parse_split(spec: str) -> tuple[str, str | None, str | None]:
 
 
 def read_split(spark: SparkSession, splits: dict[str, str], spec: str, key: str) -> DataFrame:
-    """The rows of a named split that a slice keeps, in the order of key; bounds as Python has them, or per cent of the rows, rounded."""
+    """The rows of a named split that a slice keeps, in the order of key; bounds as Python has them, or per cent of the rows, rounded, halves away from 0."""
     name, start, end = parse_split(spec)
     if name not in splits:
         raise ValueError(f"no split {name}; there are {sorted(splits)}")
@@ -80,7 +80,9 @@ def read_split(spark: SparkSession, splits: dict[str, str], spec: str, key: str)
     def place(bound: str | None, default: int) -> int:
         if bound is None:
             return default
-        at = round(total * int(bound[:-1]) / 100) if bound.endswith("%") else int(bound)
+        at = int(bound.removesuffix("%"))
+        if bound.endswith("%"):
+            at = (2 * total * abs(at) + 100) // 200 * (-1 if at < 0 else 1)
         return min(max(at + total if at < 0 else at, 0), total)
 
     low, high = place(start, 0), place(end, total)

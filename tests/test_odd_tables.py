@@ -1,4 +1,4 @@
-"""Queries against their DuckDB SQL on tables with blank texts."""
+"""Queries against their DuckDB SQL on tables with blank texts and uneven sizes."""
 
 import shutil
 
@@ -28,3 +28,11 @@ BLANK = "SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 13 = 0 T
 def test_blank_texts(spark, tmp_path, name):
     folder = tables(tmp_path, BLANK)
     assert differences(QUERIES[name](spark, folder), ORACLE[name], folder) == ""
+
+
+def test_half_a_row_of_a_share(spark, tmp_path):
+    """A quarter of 10 rows is 3, one of 14 is 4."""
+    for n in (10, 14):
+        (tmp_path / str(n)).mkdir()
+        folder = tables(tmp_path / str(n), f"SELECT * FROM {{documents}} ORDER BY doc_id LIMIT {n}")
+        assert differences(QUERIES["split_slice"](spark, folder), ORACLE["split_slice"], folder) == ""

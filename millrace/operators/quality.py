@@ -76,14 +76,24 @@ def write_report(df: DataFrame, path: str) -> dict[str, Any]:
     return report
 
 
+def _strict(own: Column) -> Column:
+    """Whether stripped text keeps the format; both ends are looked at first, as the pattern reads the whole text."""
+    return own.startswith("<think>") & own.endswith("</answer>") & own.rlike(EVAL_STRICT)
+
+
+def _tags(text: Column) -> Column:
+    tags = F.lit(0)
+    for tag in ("<think>", "</think>", "<answer>", "</answer>"):
+        tags = tags + F.when(t.count_of(text, tag) == 1, 1).otherwise(0)
+    return tags
+
+
 def analyze(text: Column) -> dict[str, Column]:
     """What a format report says of an output."""
     own = t.strip(text)
-    strict = own.rlike(EVAL_STRICT)
+    strict = _strict(own)
     answer = t.strip(F.when(strict, F.regexp_extract(own, EVAL_STRICT, 1)).otherwise(own))
-    tags = F.lit(0)
-    for tag in ("<think>", "</think>", "<answer>", "</answer>"):
-        tags = tags + F.when(t.count_of(text, tag) == 1, 1).otherwise(0)
+    tags = _tags(text)
     return {"strict_format_ok": strict, "tag_complete_ok": tags == 4, "tag_score": tags, "answer_chars": F.length(answer), "empty_answer": answer == "", "refusal_like": t.refuses(answer)}
 
 
@@ -96,6 +106,7 @@ def format_report(df: DataFrame, text: str) -> DataFrame:
 
 
 def failures(df: DataFrame, text: str) -> DataFrame:
-    """Rows that break the format, are empty or refuse."""
-    got = analyze(F.col(text))
-    return df.filter(~got["strict_format_ok"] | ~got["tag_complete_ok"] | got["empty_answer"] | got["refusal_like"])
+    """Rows that break the format, are empty or refuse: what costs least is asked first, and the answer is read only where the format is kept."""
+    own = t.strip(F.col(text))
+    said = t.strip(F.regexp_extract(own, EVAL_STRICT, 1))
+    return df.filter(~_strict(own) | (_tags(F.col(text)) != 4) | t.let(said, lambda answer: (answer == "") | t.refuses(answer)))

@@ -39,22 +39,28 @@ def clean(text: Column, forced: Column) -> Column:
 
 
 def _without(label: str) -> Callable[[Column], Column]:
-    return lambda text: F.when(text.startswith(label), F.regexp_replace(F.substr(text, F.lit(len(label) + 1)), rf"\A{t.SPACE}+", "")).otherwise(text)
+    return lambda text: F.when(text.startswith(label), t.strip_left(F.substr(text, F.lit(len(label) + 1)))).otherwise(text)
 
 
 def _prefixed(flat: Column) -> Column:
-    after = lambda at: F.regexp_replace(F.substr(flat, at + len(PHRASE)), rf"\A{t.SPACE}+", "")
+    after = lambda at: t.strip_left(F.substr(flat, at + len(PHRASE)))
     at = F.locate(PHRASE, flat)
     return F.when(flat.startswith(PREFIX), flat).when(at > 0, F.concat(F.lit(PREFIX + " "), after(at))).otherwise(F.concat(F.lit(PREFIX + " "), flat))
 
 
 def _ended(whole: Column, forced: Column) -> Column:
     bare = whole
-    for ending in (r"The answer is@\([A-J]\)\.?", r"Answer@:@\(?[A-J]\)?\.?"):
-        bare = t.strip(F.regexp_replace(bare, rf"{t.SPACE}*{ending.replace('@', t.SPACE + '*')}{t.SPACE}*\z", ""))
+    for beginning, ending in (("The answer is", r"@\([A-J]\)\.?"), ("Answer", r"@:@\(?[A-J]\)?\.?")):
+        pattern = rf"{t.SPACE}*{beginning}{ending.replace('@', t.SPACE + '*')}{t.SPACE}*\z"
+        bare = t.let(bare, _cut(beginning, pattern))
     return F.concat(bare, F.lit(" The answer is ("), F.coalesce(forced, choice_letter(whole), F.lit("A")), F.lit(")."))
 
 
+def _cut(beginning: str, pattern: str) -> Callable[[Column], Column]:
+    """Without what the pattern finds; it isn't tried where its beginning is absent."""
+    return lambda text: t.strip(F.when(text.contains(beginning), F.regexp_replace(text, pattern, "")).otherwise(text))
+
+
 def is_error(text: Column) -> Column:
     own = t.safe(text)
     return (own == "") | own.startswith("__ERROR__")

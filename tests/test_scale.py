@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from millrace.functions import cot
 from millrace.functions import text as t
 from millrace.operators import quality
 
@@ -20,6 +21,14 @@ def test_format_failures_read_texts_once(spark):
     assert plan(bad).count("RLIKE") == 1 and plan(bad).count("regexp_extract(") == 1 and "regexp_replace(" not in plan(bad)
 
 
+def test_cleaning_needs_no_pattern_for_white_space(spark):
+    """Only the two endings are patterns, and they are tried only where their first words occur."""
+    rows = spark.createDataFrame([(" Reasoning:　a\r\nb \x85 c\nThe answer is (B).",), ("x Answer : C",), ("é 中",), (None,)], "c string")
+    cleaned = rows.select(cot.clean(F.col("c"), F.lit("A")).alias("c"))
+    assert [r.c for r in cleaned.collect()] == ["A: Let's think step by step. a b c The answer is (A).", "A: Let's think step by step. x The answer is (A).", None, ""]
+    assert plan(cleaned).count("regexp_replace(") == 2 == plan(cleaned).lower().count("contains(")
+
+
 def test_white_space_as_python_has_it(spark):
     random.seed(1)
     texts = ["".join(random.choice(t.BLANKS * 2 + "abİé中​﻿\x1b") for _ in range(random.randint(0, 14))) for _ in range(500)]

@@ -2,11 +2,12 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import cot
 from millrace.functions import text as t
-from millrace.operators import quality
+from millrace.operators import decontam, quality
 
 
 def plan(df) -> str:
@@ -35,3 +36,24 @@ def test_white_space_as_python_has_it(spark):
     got = spark.createDataFrame([(x,) for x in texts], "x string").select("x", t.strip(F.col("x")).alias("s"), t.split(F.col("x")).alias("w"), t.tail_lines(F.col("x")).alias("l")).collect()
     for r in got:
         assert (r.s, r.w, r.l) == (r.x.strip(), r.x.split(), [y for y in (line.strip() for line in r.x.splitlines()) if y])
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_decontamination_makes_few_ngrams(spark, monkeypatch, few):
+    """Flags as by sets of n-grams; n-grams are made only near words that benchmarks hold rarely."""
+    if not few:
+        monkeypatch.setattr(decontam, "ANCHOR_BYTES", -1)
+    random.seed(2)
+    word = lambda: f"w{int(random.paretovariate(0.4)) % 500}"
+    items = [" ".join(word() for _ in range(12)) for _ in range(20)]
+    texts = [" ".join(word() for _ in range(60)) for _ in range(200)] + ["", None, "w1 w2"]
+    texts = [x.replace(" ", "\n ", 3) + " " + items[k % 20].upper() if x and k % 5 == 0 else x for k, x in enumerate(texts)]
+    sets = lambda x: {tuple(w[i : i + 8]) for w in [(x or "").lower().split()] for i in range(len(w) - 7)}
+    known = set().union(*map(sets, items))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    flagged = decontam.flags(docs, {"b": spark.createDataFrame([(x,) for x in items], "text string")})
+    assert {r.doc_id: r.contaminated_b for r in flagged.collect()} == {k: bool(sets(x) & known) for k, x in enumerate(texts)}
+    if few:
+        made = decontam.anchored_ngrams(decontam.words_of(F.col("text")), spark, decontam.anchors([" ".join(g) for g in sorted(known)]), 8)
+        n, every = docs.select(F.sum(F.size(made)), F.sum(F.size(t.ngrams(decontam.words_of(F.col("text")), 8)))).first()
+        assert n * 2 < every

@@ -8,12 +8,13 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from millrace.functions import text as t
 from millrace.functions.answers import equal, final_answer
+from millrace.operators.lineage import small
 from millrace.streaming import providers
 
 FORMAT = r"(?smd)\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>$"
@@ -71,9 +72,23 @@ def cosine(text: Column, correct: Column, min_wrong: float = -1.0, max_wrong: fl
 
 
 def length(text: Column, correct: Column, group: WindowSpec) -> Column:
-    """0.5 less the place between the group's shortest and longest; at most 0 when wrong."""
+    """0.5 less the place between the group's shortest and longest; at most 0 when wrong. A window brings all of a group, texts too, to one task: see length_by."""
     size = F.length(text)
-    lo, hi = F.min(size).over(group), F.max(size).over(group)
+    return _by_length(size, F.min(size).over(group), F.max(size).over(group), correct)
+
+
+def length_by(rows: DataFrame, text: str, correct: Column, by: list[str], name: str = "reward") -> DataFrame:
+    """rows with the length reward within groups of equal `by`, null being a value like others; the groups' bounds are joined, so rows stay in their tasks where bounds can be broadcast."""
+    size = F.length(text)
+    own = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    group = F.struct(*[F.col(f"`{c}`") for c in by])
+    bounds = rows.select(group.alias("group"), size.alias("size")).groupBy("group").agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
+    marked = rows.select(own.alias("own"), group.alias("group"), size.alias("size"), correct.alias("correct")).join(small(bounds, 200), "group")
+    kept = [F.col("own").getField(c).alias(c) for c in rows.columns if c != name]
+    return marked.select(*kept, _by_length(F.col("size"), F.col("lo"), F.col("hi"), F.col("correct")).alias(name))
+
+
+def _by_length(size: Column, lo: Column, hi: Column, correct: Column) -> Column:
     place = F.lit(0.5) - (size - lo) / (hi - lo)
     return F.when(correct.isNull(), 1.0).when(hi == lo, 0.0).when(correct, place).otherwise(F.least(F.lit(0.0), place))
 

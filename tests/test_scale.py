@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import cot
+from millrace.functions import cot, rewards
 from millrace.functions import text as t
 from millrace.operators import decontam, quality
 
@@ -57,3 +57,14 @@ def test_decontamination_makes_few_ngrams(spark, monkeypatch, few):
         made = decontam.anchored_ngrams(decontam.words_of(F.col("text")), spark, decontam.anchors([" ".join(g) for g in sorted(known)]), 8)
         n, every = docs.select(F.sum(F.size(made)), F.sum(F.size(t.ngrams(decontam.words_of(F.col("text")), 8)))).first()
         assert n * 2 < every
+
+
+def test_length_reward_moves_no_groups(spark):
+    """Bounds of a group are joined; no task receives a whole group's texts."""
+    rows = spark.createDataFrame([(1, "en", "a", True), (2, "en", "aaa", False), (3, None, "aa", True), (4, None, "a", None), (5, "de", "a", True)], "id long, lang string, text string, ok boolean")
+    got = rewards.length_by(rows, "text", F.col("ok"), ["lang"])
+    assert {r.id: r.reward for r in got.collect()} == {1: 0.5, 2: -0.5, 3: -0.5, 4: 1.0, 5: 0.0}
+    assert "Window" not in plan(got)
+    from millrace.plans.queries import QUERIES
+
+    assert "Window" not in plan(QUERIES["length_reward"](spark, "/root/testdata/sf0.001"))

@@ -90,7 +90,7 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42) ->
     total = df.count()
     if n <= total:
         return sample(df, n, key, seed)
-    rank = _free_name(df)
+    rank = free_name(df)
     times = F.lit(n // total) + F.when(F.col(rank) <= n % total, 1).otherwise(0)
     return replicate(ranked(df, key, seed, rank), times).drop(rank)
 
@@ -98,12 +98,12 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42) ->
 def replicate(df: DataFrame, times: Column | int, name: str | None = None) -> DataFrame:
     """Each row so many times; name, if given, numbers the copies from 1. Rows of no times vanish."""
     times = (F.lit(times) if isinstance(times, int) else times).cast("int")
-    copy = name or _free_name(df)
+    copy = name or free_name(df)
     copied = df.withColumn(copy, F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
     return copied if name else copied.drop(copy)
 
 
-def _free_name(df: DataFrame) -> str:
+def free_name(df: DataFrame) -> str:
     """A column name that df doesn't have."""
     name = "_rank"
     while name in df.columns:
@@ -146,7 +146,7 @@ def mixture(parts: list[tuple[DataFrame, float]], key: str, seed: int = 42) -> D
 def exact_split(df: DataFrame, test_share: float, key: str, seed: int = 42) -> DataFrame:
     """df with a column split; exactly ceil(share * rows) rows are test."""
     n = math.ceil(test_share * df.count())
-    rank = _free_name(df)
+    rank = free_name(df)
     return ranked(df, key, seed, rank).withColumn("split", F.when(F.col(rank) <= n, "test").otherwise("train")).drop(rank)
 
 

@@ -332,7 +332,7 @@ def _(tables):
 def _(tables):
     """Rows in chunks of 200, each a file of its own, merged again."""
     spark, root = _folder(tables, "chunks")
-    mixture.chunks(tables("documents").select("doc_id", "text"), 200, "doc_id").write.partitionBy("chunk").parquet(root)
+    sinks.write_chunks(tables("documents").select("doc_id", "text"), root, 200, "doc_id")
     return scans.read(spark, root)
 
 

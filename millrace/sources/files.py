@@ -66,6 +66,17 @@ def parquet_files(path: str) -> list[str]:
     return sorted({p for p in found if p.lower().endswith(".parquet")})
 
 
+def holds_parquet(folder: str) -> bool:
+    """Whether a Parquet file lies below a folder; what is listed up to it is all that is looked at."""
+    fs, made = _fs(folder)
+    found = fs.listFiles(made, True)
+    while found.hasNext():
+        name = _named(found.next(), folder)[len(folder.rstrip("/")) :]
+        if name.lower().endswith(".parquet") and not any(part.startswith((".", "_")) for part in name.split("/")):
+            return True
+    return False
+
+
 def move(source: str, target: str) -> None:
     fs, made = _fs(source)
     if not fs.rename(made, _fs(target)[1]):

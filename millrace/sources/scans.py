@@ -53,6 +53,11 @@ def resolve(name: str | None, mixture: object = None, root: str = ".", catalog:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
+    """All Parquet behind a file name, a folder or a pattern; a folder is listed by Spark in one go, however many files it holds."""
+    if not files.is_pattern(path) and files.is_folder(path):
+        if not files.holds_parquet(path):
+            raise FileNotFoundError(path)
+        return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][aA][rR][qQ][uU][eE][tT]").parquet(path)
     found = parquet_files(path)
     if not found:
         raise FileNotFoundError(path)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.lineage import cut
+from millrace.operators.mixture import chunks, free_name
 from millrace.sources import files
 
 
@@ -42,6 +43,15 @@ def write_parquet(df: DataFrame, path: str, compression: str | None = "snappy",
     swap(stage, path)
 
 
+def write_chunks(df: DataFrame, path: str, size: int, key: str, seed: int = 42) -> None:
+    """A file for each chunk of `size` rows in hash order, whole and alone in it: all chunks but the last are full, and the last ends its task."""
+    numbered = chunks(df, size, key, seed, name := free_name(df))
+    rows = numbered.repartition(name).sortWithinPartitions(name).drop(name)
+    stage = f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
+    rows.write.option("maxRecordsPerFile", size).parquet(stage)
+    swap(stage, path)
+
+
 def swap(new: str, path: str) -> None:
     """new in the place of path; what was there goes last."""
     old = f"{path.rstrip('/')}.{uuid.uuid4().hex}.old"

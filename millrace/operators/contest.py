@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import groupby
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from millrace.operators.mixture import replicate
 
@@ -89,32 +90,46 @@ def score_subtasks(runs: DataFrame, by: list[str], batch: int = 1) -> DataFrame:
     Tests that didn't run are SKIPPED. No tests at all: score 0, SKIPPED. A submission's tests are one group of a task.
     """
     fields = ["subtask", "place", "test", "score", "status", "points", "precision"]
-    result = StructType([runs.schema["subtask"], *StructType.fromDDL("score double, weighted_score double, status string")])
-
-    @F.udf(ArrayType(result), useArrow=True)
-    def scored(rows: list) -> list:
-        known: dict[object, tuple[float, str]] = {}
-        out = []
-        for subtask, group in groupby(rows, key=lambda r: r["subtask"]):
-            first, *_ = group = list(group)
-            tests = [r for r in group if r["test"] is not None]
-            todo = [r for r in tests if r["test"] not in known]
-            if not any(r["test"] in known and known[r["test"]][0] == 0.0 for r in tests):
-                step = batch if batch >= 1 else max(1, len(todo))
-                for at in range(0, len(todo), step):
-                    part = todo[at : at + step]
-                    known.update((r["test"], (r["score"], r["status"])) for r in part)
-                    if any(r["score"] == 0.0 for r in part):
-                        break
-            seen = [known.get(r["test"], (0.0, "SKIPPED")) for r in tests]
-            least = min((s for s, _ in seen), default=0.0)
-            status = min((s for _, s in seen), key=STATUS.__getitem__, default="SKIPPED")
-            digits = int(first["precision"])
-            out.append((subtask, round(least, digits), round(least * first["points"], digits), status))
-        return out
-
     grouped = runs.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
-    return grouped.select(*by, F.explode(scored("rows")).alias("s")).select(*by, "s.*")
+    result = StructType([*[f for f in grouped.schema if f.name != "rows"], runs.schema["subtask"], *StructType.fromDDL("score double, weighted_score double, status string")])
+    return grouped.mapInArrow(_score_subtasks(by, batch), result)
+
+
+def _score_subtasks(by: list[str], batch: int):
+    """Over submissions with their sorted rows: a row for each sub-task. Fields are read as columns, since a row as an object takes far longer than its score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            lists = given.column("rows")
+            bounds = lists.offsets.to_pylist()
+            subtasks, tests, scores, states, points, digits = (lists.values.field(name).to_pylist() for name in ("subtask", "test", "score", "status", "points", "precision"))
+            out: list[tuple] = []
+            for group, (at, to) in enumerate(zip(bounds, bounds[1:])):
+                known: dict[object, tuple[float, str]] = {}
+                while at < to:
+                    end = at + 1
+                    while end < to and subtasks[end] == subtasks[at]:
+                        end += 1
+                    own = [i for i in range(at, end) if tests[i] is not None]
+                    todo = [i for i in own if tests[i] not in known]
+                    if not any(tests[i] in known and known[tests[i]][0] == 0.0 for i in own):
+                        step = batch if batch >= 1 else max(1, len(todo))
+                        for k in range(0, len(todo), step):
+                            part = todo[k : k + step]
+                            known.update((tests[i], (scores[i], states[i])) for i in part)
+                            if any(scores[i] == 0.0 for i in part):
+                                break
+                    seen = [known.get(tests[i], (0.0, "SKIPPED")) for i in own]
+                    least = min((s for s, _ in seen), default=0.0)
+                    status = min((s for _, s in seen), key=STATUS.__getitem__, default="SKIPPED")
+                    out.append((group, subtasks[at], float(round(least, int(digits[at]))), float(round(least * points[at], int(digits[at]))), status))
+                    at = end
+            groups, *columns = zip(*out) if out else ((),) * 5
+            keys = [given.column(name).take(pa.array(groups, pa.int64())) for name in by]
+            kinds = (lists.values.field("subtask").type, pa.float64(), pa.float64(), pa.string())
+            yield pa.RecordBatch.from_arrays([*keys, *[pa.array(c, kind) for c, kind in zip(columns, kinds)]], names=[*by, "subtask", "score", "weighted_score", "status"])
+
+    return run
 
 
 def explode_generations(rows: DataFrame, generations: str, name: str = "generation") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cot, rewards
 from millrace.functions import text as t
-from millrace.operators import decontam, quality
+from millrace.operators import contest, decontam, quality
 
 
 def plan(df) -> str:
@@ -68,3 +68,12 @@ def test_length_reward_moves_no_groups(spark):
     from millrace.plans.queries import QUERIES
 
     assert "Window" not in plan(QUERIES["length_reward"](spark, "/root/testdata/sf0.001"))
+
+
+def test_subtasks_are_read_as_columns(spark):
+    """Two submissions; what the first sub-task ran the second one knows. Rows aren't made objects one by one."""
+    rows = [("a", 1, 1, "x", 1.0, "AC"), ("a", 1, 2, "y", 0.0, "WA"), ("a", 1, 3, "z", 0.5, "PA"), ("a", 2, 1, "z", 0.5, "PA"), ("a", 2, 2, "x", 1.0, "AC"), ("a", 3, 1, "y", 1.0, "AC"), ("b", 1, 1, None, None, None)]
+    runs = spark.createDataFrame(rows, "s string, subtask int, place int, test string, score double, status string").withColumns({"points": F.lit(25.0), "precision": F.lit(2)})
+    got = contest.score_subtasks(runs, ["s"])
+    assert sorted(map(tuple, got.collect())) == [("a", 1, 0.0, 0.0, "WA"), ("a", 2, 0.5, 12.5, "PA"), ("a", 3, 0.0, 0.0, "WA"), ("b", 1, 0.0, 0.0, "SKIPPED")]
+    assert "ArrowEvalPython" not in plan(got)
